@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, media, packing, quality, secrets, surrogates, wrappers
+from . import decontamination, media, near_copies, packing, quality, secrets, surrogates, wrappers
 from .common import table
 
 
@@ -41,12 +41,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media, op2_packing, op4_wrappers, op5_surrogates, op7_secrets, op8_quality, op10_decontamination)}
+    return {f.__name__: f for f in (op1_media, op2_packing, op4_wrappers, op5_surrogates, op7_secrets, op8_quality, op9_near_copies, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
