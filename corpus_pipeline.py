@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shruti.llm import decontamination, packing, quality, surrogates
+from shruti.llm import decontamination, near_copies, packing, quality, surrogates
 from shruti.llm.common import bound_batches, stored, table
 from shruti.llm.queries import pii_key
 
@@ -20,6 +20,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (shingles of five words, similarity 0.8 or more) the first document stays."""
+    bound_batches(spark)
+    return near_copies.keep_one(docs, width=5, percent=80)
+
+
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -35,7 +41,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
-STAGES = [("quality", good_quality), ("decontamination", no_benchmark), ("pii", no_personal_data), ("packing", packed)]
+STAGES = [("quality", good_quality), ("near_copies", no_near_copies), ("decontamination", no_benchmark), ("pii", no_personal_data), ("packing", packed)]
 
 #: No SQL expresses the classifier, the surrogates or the packing; the tests run the stages against plain versions.
 ORACLE_SQL = None
