@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, media, near_copies, packing, quality, secrets, surrogates, wrappers
+from . import decontamination, media, near_copies, packing, quality, repeats, secrets, surrogates, wrappers
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.spans(table(spark, sf_dir, "documents"))
+
+
 def op4_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(table(spark, sf_dir, "pages"))
 
@@ -33,6 +37,10 @@ def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.digest(table(spark, sf_dir, "documents"), pii_key(spark))
 
 
+def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -50,7 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media, op2_packing, op4_wrappers, op5_surrogates, op7_secrets, op8_quality, op9_near_copies, op10_decontamination)}
+    return {f.__name__: f for f in (op1_media, op2_packing, op3_sparse_suffixes, op4_wrappers, op5_surrogates, op6_fm_index, op7_secrets, op8_quality, op9_near_copies, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
