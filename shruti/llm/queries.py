@@ -60,6 +60,3 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_media, op2_packing, op3_sparse_suffixes, op4_wrappers, op5_surrogates, op6_fm_index, op7_secrets, op8_quality, op9_near_copies, op10_decontamination)}
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
