@@ -50,7 +50,7 @@ PATTERNS = [
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)", re.ASCII), "."),
     ("card", re.compile(r"(?<!\w)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\w)", re.ASCII), ""),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII), "-"),
-    ("phone", re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w.+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])", re.ASCII), ""),
+    ("phone", re.compile(r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+(?!1\b)\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w.+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])", re.ASCII), ""),
     ("name", re.compile(rf"\b(?:(?P<title>{'|'.join(t for ts in TITLES.values() for t in ts)})\.?[ ]+(?P<titled>{_CAP}(?:[ ]{_CAP})?)|(?P<first>{'|'.join(GENDER_OF_NAME)})[ ](?P<last>{_CAP}))\b"), ""),
 ]
 ANY_NUMBER = re.compile(r"\d[\d ().-]{5,}\d|\d\.\d+\.\d", re.ASCII)
@@ -194,21 +194,17 @@ class Surrogates:
         """Entities, leftmost first, not overlapping; of two at one place the kind listed first."""
         numbers, names = ANY_NUMBER.search(text), ANY_NAME.search(text)
         found: list[tuple[int, int, str]] = []
-        taken: list[tuple[int, int]] = []
+        rest = text  # what is found is blanked, so that it can't be part of anything else
         for kind, pattern, needs in PATTERNS:
             if needs and needs not in text or not (names if kind == "name" else numbers or kind in ("email", "iban")):
                 continue
-            for m in pattern.finditer(text):
-                if any(a < m.end() and m.start() < b for a, b in taken) or not _valid(kind, m[0]):
-                    continue
-                spans = _name_parts(m) if kind == "name" else [(*m.span(), kind)]
-                found += spans
-                taken += [s[:2] for s in spans]
+            new = [s for m in pattern.finditer(rest) if _valid(kind, m[0]) for s in (_name_parts(m) if kind == "name" else [(*m.span(), kind)])]
+            found += new
+            rest = _blanked(rest, new)
         last_names = {text[a:b] for a, b, k in found if k == "last"}
         if last_names:  # later mentions without first name or title
-            for m in re.finditer(rf"\b(?:{'|'.join(sorted(map(re.escape, last_names), key=len, reverse=True))})\b", text):
-                if not any(a < m.end() and m.start() < b for a, b in taken):
-                    found.append((*m.span(), "last"))
+            either = "|".join(sorted(map(re.escape, last_names), key=len, reverse=True))
+            found += [(*m.span(), "last") for m in re.finditer(rf"\b(?:{either})\b", rest)]
         return sorted(found)
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]], list[tuple[str, str, str]]]:
@@ -227,6 +223,16 @@ class Surrogates:
         return "".join([*out, text[at:]]), spans, pairs
 
 
+def _blanked(text: str, spans: list[tuple[int, int, str]]) -> str:
+    if not spans:
+        return text
+    parts, at = [], 0
+    for a, b, _ in spans:
+        parts += [text[at:a], "\0" * (b - a)]
+        at = b
+    return "".join([*parts, text[at:]])
+
+
 def canonical(kind: str, text: str) -> str:
     """The form that all ways of writing the entity share."""
     if kind == "email":
