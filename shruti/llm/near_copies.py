@@ -40,7 +40,7 @@ from .hashing import ODD, U, mix, shingles, words
 
 CHUNK = 2 << 20
 #: Buckets of the count vectors, whose distance bounds the size of a symmetric difference from below.
-BUCKETS = 256
+BUCKETS = 64
 #: Bits of the table of frequent shingles; per task, only buckets far above the mean are reported.
 HOT_BITS = 16
 LEADERS = 8
