@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 NEVER = -1e30
 FAIL_SCORE = -99.0
 
@@ -58,20 +60,22 @@ def frame_shift(stride: float = 0.01, subsampling: int = 4, probe_frames: int |
     return shift
 
 
+def log_sum_exp(frame: Column) -> Column:
+    return let(F.array_max(frame), lambda top: top + F.ln(F.aggregate(frame, F.lit(0.0), lambda s, y: s + F.exp(y - top))))
+
+
 def log_softmax(frame: Column) -> Column:
-    top = F.array_max(frame)
-    return F.transform(frame, lambda x: x - top - F.ln(F.aggregate(frame, F.lit(0.0), lambda s, y: s + F.exp(y - top))))
+    return let(log_sum_exp(frame), lambda total: F.transform(frame, lambda x: x - total))
 
 
 def is_log_probability(frame: Column) -> Column:
     """Whether the frame's probabilities already sum to one, within 1e-2 of the logarithm."""
-    top = F.array_max(frame)
-    return F.abs(top + F.ln(F.aggregate(frame, F.lit(0.0), lambda s, y: s + F.exp(y - top)))) < 1e-2
+    return F.abs(log_sum_exp(frame)) < 1e-2
 
 
 def sliced(frames: Column, part: Slice) -> Column:
     """Log-probabilities of the block and the blank (which comes last), renormalised. Needs no normalisation before."""
-    return F.transform(frames, lambda f: log_softmax(F.concat(F.slice(f, part.offset + 1, part.width), F.array(f[part.blank]))))
+    return F.transform(frames, lambda f: let(F.concat(F.slice(f, part.offset + 1, part.width), F.array(f[part.blank])), log_softmax))
 
 
 def best_ids(frames: Column) -> Column:
@@ -81,8 +85,7 @@ def best_ids(frames: Column) -> Column:
 
 def greedy(frames: Column, blank: int | Column) -> Column:
     """Most likely ids with repeats collapsed and blanks dropped."""
-    best = best_ids(frames)
-    return F.filter(best, lambda x, i: (x != blank) & ((i == 0) | (x != F.get(best, i - 1))))
+    return let(best_ids(frames), lambda best: F.filter(best, lambda x, i: (x != blank) & ((i == 0) | (x != F.get(best, i - 1)))))
 
 
 def greedy_logprob(frames: Column) -> Column:
@@ -102,18 +105,20 @@ def forced_logprob(frames: Column, target: Column, blank: int) -> Column:
     """
     never, none = F.lit(NEVER), F.lit(blank)
     states = F.concat(F.flatten(F.transform(target, lambda t: F.array(none, t))), F.array(none))
-    start = F.transform(states, lambda k, i: F.when(i < 2, F.get(frames[0], k).cast("double")).otherwise(never))
+    # of each state its id, and whether it can be reached from two before
+    skips = lambda z: F.transform(z, lambda k, i: F.struct(k.alias("id"), ((i > 1) & (k != none) & (k != F.coalesce(F.get(z, i - 2), none))).alias("skip")))
+
+    def last(z: Column) -> Column:
+        start = F.transform(z, lambda k, i: F.when(i < 2, F.get(frames[0], k["id"]).cast("double")).otherwise(never))
 
-    def step(acc: Column, frame: Column) -> Column:
-        def best(k: Column, i: Column) -> Column:
-            skip = (k != none) & (k != F.coalesce(F.get(states, i - 2), none))
-            before = F.greatest(F.get(acc, i), F.when(i > 0, F.get(acc, i - 1)).otherwise(never), F.when((i > 1) & skip, F.get(acc, i - 2)).otherwise(never))
-            return F.get(frame, k).cast("double") + before
+        def step(acc: Column, frame: Column) -> Column:
+            before = lambda i, n: F.coalesce(F.get(acc, i - n), never)
+            return F.transform(z, lambda k, i: F.get(frame, k["id"]).cast("double") + F.greatest(F.get(acc, i), before(i, 1), F.when(k["skip"], before(i, 2)).otherwise(never)))
 
-        return F.transform(states, best)
+        return F.aggregate(F.slice(frames, 2, F.greatest(F.size(frames) - 1, F.lit(0))), start, step)
 
-    last = F.aggregate(F.slice(frames, 2, F.greatest(F.size(frames) - 1, F.lit(0))), start, step)
-    return F.when((F.size(target) > 0) & (F.size(frames) > 0), F.greatest(F.element_at(last, -1), F.element_at(last, -2)))
+    best = let(let(let(states, skips), last), lambda end: F.greatest(F.element_at(end, -1), F.element_at(end, -2)))
+    return F.when((F.size(target) > 0) & (F.size(frames) > 0), best)
 
 
 def align(frames: np.ndarray, target: list[int], blank: int) -> tuple[np.ndarray, np.ndarray]:

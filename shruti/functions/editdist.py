@@ -9,25 +9,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .textnorm import words
 
-#: More distinct words than this in one pair of texts is an error rather than a wrong result.
-DICTIONARY = 20_000
+#: More distinct words than this in one pair of texts is an error rather than a wrong result; each has a character of its own from FIRST on.
+DICTIONARY, FIRST = 40_000, 0x3400
 
 
-def _symbols() -> Column:
-    """Distinct characters, as a constant array."""
-    return F.split(F.lit("".join(map(chr, range(0x3400, 0x3400 + DICTIONARY)))), "")
+def _character(n: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(n + FIRST), 4, "0")), "UTF-16BE")
 
 
 def word_edits(ref: Column, hyp: Column) -> Column:
     """Least number of word insertions, deletions and substitutions."""
-    r, h = words(ref), words(hyp)
-    known = F.array_distinct(F.concat(r, h))
-    # a map makes each lookup one step; arrays would be searched from the start for each word
-    numbers = F.map_from_arrays(known, F.slice(_symbols(), F.lit(1), F.greatest(F.size(known), F.lit(1))))
-    coded = lambda ws: F.array_join(F.transform(ws, lambda w: F.element_at(numbers, w)), "")
-    return F.when(F.size(known) > DICTIONARY, F.raise_error(F.lit("too many distinct words in a pair"))).when(F.size(known) == 0, F.lit(0)).otherwise(F.levenshtein(coded(r), coded(h)))
+
+    def distance(s: Column) -> Column:
+        coded = lambda ws: F.array_join(F.transform(ws, lambda w: _character(F.array_position(s["known"], w))), "")
+        too_many = F.raise_error(F.lit("too many distinct words in a pair")).cast("int")
+        return F.when(F.size(s["known"]) > DICTIONARY, too_many).otherwise(F.levenshtein(coded(s["r"]), coded(s["h"])))
+
+    pair = F.struct(words(ref).alias("r"), words(hyp).alias("h"))
+    return let(pair, lambda p: let(F.struct(p["r"].alias("r"), p["h"].alias("h"), F.array_distinct(F.concat(p["r"], p["h"])).alias("known")), distance))
 
 
 def char_edits(ref: Column, hyp: Column) -> Column:

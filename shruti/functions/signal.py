@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 #: The published table of ln(mean |x|) - mean(ln |x|) at -20, -19, ..., 100 dB for a shape of 0.4.
 WADA_TABLE = [
     0.40974774, 0.40986926, 0.40998566, 0.41010534, 0.4102188, 0.4103374, 0.41045077, 0.4105655, 0.4106772, 0.4107877,
@@ -45,9 +47,12 @@ def wada_snr(wav: Column, table: list[float] = WADA_TABLE, statistic: Column | N
     v = level_statistic(wav) if statistic is None else statistic
     g = F.array(*map(F.lit, table))
     finite = F.exists(wav, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")))
-    below = F.size(F.filter(g, lambda y: y < v))  # entries under v: the last of them starts the interval
-    lo, hi = F.element_at(g, below), F.element_at(g, below + 1)
-    inside = F.lit(FIRST_DB) + (below - 1) + (v - lo) / (hi - lo)
+
+    def between(below: Column) -> Column:  # entries under v: the last of them starts the interval
+        lo, hi = F.element_at(g, below), F.element_at(g, below + 1)
+        return F.lit(FIRST_DB) + (below - 1) + (v - lo) / (hi - lo)
+
+    inside = let(F.size(F.filter(g, lambda y: y < v)), between)
     last = FIRST_DB + len(table) - 1
     known = F.when(v <= table[0], F.lit(FIRST_DB)).when(v >= table[-1], F.lit(last)).otherwise(inside)
     return F.when(F.coalesce((F.size(wav) > 0) & finite, F.lit(False)), known).otherwise(F.lit(float("nan")))

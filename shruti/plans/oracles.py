@@ -27,14 +27,14 @@ def char_edits(a: str, b: str) -> str:
     return f"levenshtein(translate({a}, '{WIDE}', '{NARROW}'), translate({b}, '{WIDE}', '{NARROW}'))"
 
 
-def word_edits(r: str, h: str) -> str:
-    """Lists of words: one row of the table of distances at a time."""
-    ids = f"list_transform({h}, lambda w: [coalesce(list_position({r}, w), 0)])"
-    start = f"[range(0, len({r}) + 1)]"
-    ref = f"list_transform({r}, lambda w: list_position({r}, w))"
-    cand = f"list_transform(range(1, len({r}) + 1), lambda j: least(p[j + 1] + 1, p[j] + CASE WHEN {ref}[j] = x[1] THEN 0 ELSE 1 END) - j)"
-    step = f"list_transform(range(0, len({r}) + 1), lambda j: j + list_min(list_slice(list_prepend(p[1] + 1, {cand}), 1, j + 1)))"
-    return f"list_last(list_reduce(list_concat({start}, {ids}), lambda p, x: {step}))"
+def word_edits(source: str) -> str:
+    """ed(utt_id, word_edits) from source(utt_id, rw, hw): a row of the table of distances for each word of the hypothesis; insertions by a running minimum."""
+    return f"""rl AS (SELECT utt_id, CAST(unnest(range(1, len(rw) + 1)) AS INTEGER) AS j, hash(unnest(rw)) AS rid FROM {source} UNION ALL SELECT utt_id, 0, 0 FROM {source}),
+hl AS (SELECT utt_id, CAST(unnest(range(1, len(hw) + 1)) AS INTEGER) AS i, hash(unnest(hw)) AS hid FROM {source}),
+dp(utt_id, i, j, rid, v) AS (SELECT utt_id, 0, j, rid, j FROM rl UNION ALL
+    SELECT utt_id, i, j, rid, CAST(j + min(c - j) OVER (PARTITION BY utt_id ORDER BY j) AS INTEGER) FROM (SELECT d.utt_id, h.i, d.j, d.rid,
+        CASE WHEN d.j = 0 THEN d.v + 1 ELSE least(d.v + 1, lag(d.v) OVER (PARTITION BY d.utt_id ORDER BY d.j) + CASE WHEN rid = hid THEN 0 ELSE 1 END) END AS c FROM dp d JOIN hl h ON h.utt_id = d.utt_id AND h.i = d.i + 1)),
+ed AS (SELECT dp.utt_id, v AS word_edits FROM dp JOIN {source} s ON s.utt_id = dp.utt_id AND dp.i = len(s.hw) AND dp.j = len(s.rw))"""
 
 
 TRANSCRIPTS = """t AS (SELECT concat_ws('-', c.conv_id, c.turn) AS utt_id, c.role AS split, c.turn, coalesce(c.text, '') AS reference,
@@ -45,7 +45,8 @@ TRANSCRIPTS = """t AS (SELECT concat_ws('-', c.conv_id, c.turn) AS utt_id, c.rol
 EVALUATED = f"""{TRANSCRIPTS},
 n AS (SELECT *, {norm("reference")} AS ref_normalized, {norm("coalesce(hypothesis, '[AUDIO_FAILED]')")} AS hyp_normalized FROM t),
 w AS (SELECT *, {words("ref_normalized")} AS rw, {words("hyp_normalized")} AS hw FROM n),
-d AS (SELECT *, {word_edits("rw", "hw")} AS word_edits, {char_edits("ref_normalized", "hyp_normalized")} AS char_edits FROM w),
+{word_edits("w")},
+d AS (SELECT w.*, word_edits, {char_edits("ref_normalized", "hyp_normalized")} AS char_edits FROM w JOIN ed ON ed.utt_id = w.utt_id),
 e AS (SELECT *, CASE WHEN ref_normalized = '' AND hyp_normalized = '' THEN 0.0 WHEN ref_normalized = '' THEN -1.0 WHEN hyp_normalized = '' THEN 100.0 ELSE round(100.0::DOUBLE * word_edits / len(rw), 4) END::DOUBLE AS WER,
     CASE WHEN ref_normalized = '' AND hyp_normalized = '' THEN 0.0 WHEN ref_normalized = '' THEN -1.0 WHEN hyp_normalized = '' THEN 100.0 ELSE round(100.0::DOUBLE * char_edits / length(ref_normalized), 4) END::DOUBLE AS CER FROM d)"""
 
@@ -184,11 +185,11 @@ def shares(c: str, name: str) -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "normalize_text": f"SELECT doc_id, {norm("coalesce(text, '')")} AS normalized FROM documents",
-        "utt_wer_cer": f"WITH {EVALUATED} SELECT utt_id, ref_normalized, hyp_normalized, WER, CER FROM e",
-        "corpus_wer_cer": f"WITH {SUMMARY} SELECT * FROM s",
-        "corpus_wer_cer_compat": f"WITH {COMPAT} SELECT * FROM s",
-        "word_edit_distance": f"WITH {TRANSCRIPTS}, w AS (SELECT utt_id, {words('reference')} AS rw, {words("coalesce(whisper, '')")} AS hw FROM t) SELECT utt_id, CAST({word_edits('rw', 'hw')} AS BIGINT) AS word_edits, CAST(len(rw) AS BIGINT) AS ref_words FROM w",
-        "summary_text": f"WITH {SUMMARY} SELECT concat_ws(' ', rpad(split, 8, ' '), lpad(format('{{:,}}', n), 12, ' '), lpad(printf('%.2f%%', corpus_wer), 12, ' '), lpad(printf('%.2f%%', corpus_cer), 12, ' '), lpad(printf('%.2f%%', avg_wer), 13, ' ')) AS line FROM s",
+        "utt_wer_cer": f"WITH RECURSIVE {EVALUATED} SELECT utt_id, ref_normalized, hyp_normalized, WER, CER FROM e",
+        "corpus_wer_cer": f"WITH RECURSIVE {SUMMARY} SELECT * FROM s",
+        "corpus_wer_cer_compat": f"WITH RECURSIVE {COMPAT} SELECT * FROM s",
+        "word_edit_distance": f"WITH RECURSIVE {TRANSCRIPTS}, w AS (SELECT utt_id, {words('reference')} AS rw, {words("coalesce(whisper, '')")} AS hw FROM t), {word_edits('w')} SELECT utt_id, CAST(word_edits AS BIGINT) AS word_edits, CAST(len(rw) AS BIGINT) AS ref_words FROM w JOIN ed USING (utt_id)",
+        "summary_text": f"WITH RECURSIVE {SUMMARY} SELECT concat_ws(' ', rpad(split, 8, ' '), lpad(format('{{:,}}', n), 12, ' '), lpad(printf('%.2f%%', corpus_wer), 12, ' '), lpad(printf('%.2f%%', corpus_cer), 12, ' '), lpad(printf('%.2f%%', avg_wer), 13, ' ')) AS line FROM s",
         "jaccard_categories": f"WITH {CHECKED} SELECT utt_id, CASE WHEN lost THEN 0.0 ELSE round(a, 4) END AS wjac_whisper_ref, CASE WHEN lost THEN 0.0 ELSE round(b, 4) END AS wjac_whisper_hyp, CASE WHEN lost THEN 0.0 ELSE round(c, 4) END AS cjac_whisper_ref, CASE WHEN lost THEN 0.0 ELSE round(d, 4) END AS cjac_whisper_hyp, category FROM x",
         "category_histogram": f"WITH {CHECKED} SELECT category, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM x), 4) AS percent FROM x GROUP BY category",
         "flagged_rows": f"WITH {CHECKED} SELECT utt_id, category FROM x WHERE category IN ('AGREE_HYP_ONLY', 'DISAGREE_BOTH', 'DISAGREE_BOTH_STRONG')",
@@ -205,7 +206,7 @@ def oracle_sql() -> dict[str, str]:
         "pair_match": f"WITH {PAIRS} SELECT stem, audio_path, transcript_path FROM a JOIN b USING (stem)",
         "pair_no_transcript": f"WITH {PAIRS} SELECT stem, audio_path FROM a ANTI JOIN b USING (stem)",
         "pair_no_audio": f"WITH {PAIRS} SELECT stem, transcript_path FROM b ANTI JOIN a USING (stem)",
-        "manifest": f"WITH {CORPORA} SELECT CASE WHEN trim(coalesce(audio_source, '')) LIKE '%|' THEN '' ELSE trim(coalesce(audio_source, '')) END AS audio_filepath, transcript AS text, txt.utt_id, round(coalesce(end_sec - start_sec, 0.0), 3) AS duration, start_sec AS offset FROM txt LEFT JOIN seg ON seg.utt_id = txt.utt_id LEFT JOIN allwav ON allwav.rec_id = coalesce(seg.rec_id, txt.utt_id)",
+        "manifest": f"WITH {CORPORA} SELECT CASE WHEN trim(coalesce(audio_source, '')) LIKE '%|' THEN '' ELSE trim(coalesce(audio_source, '')) END AS audio_filepath, transcript AS text, txt.utt_id, round(coalesce(end_sec - start_sec, 0.0), 3) + 0.0 AS duration, start_sec AS offset FROM txt LEFT JOIN seg ON seg.utt_id = txt.utt_id LEFT JOIN allwav ON allwav.rec_id = coalesce(seg.rec_id, txt.utt_id)",
         "classify_recordings": f"WITH {CORPORA}, b AS (SELECT *, regexp_replace(rec_id, '_(WB|NB)$', '') AS base FROM cust) SELECT c_custkey, rec_id, {FAMILY} AS family, {SPEAKER} AS speaker, base, nullif(regexp_extract(rec_id, '_(WB|NB)$', 1), '') AS band FROM b",
         "path_resolution": f"WITH {RESOLVED} SELECT corpus, split, rec_id, audio_source, is_pipe, path, resolution FROM resolved",
         "page_names": r"WITH p AS (SELECT regexp_replace(url, '\?.*$', '') AS path FROM pages) SELECT regexp_extract(path, '[^/]*$') AS basename, min(path) AS path, count(*) AS n FROM p GROUP BY 1",
@@ -216,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
         "audit_demographics": f"WITH {WATERFALL}, p AS (SELECT DISTINCT speaker, regexp_extract(base, '{MONO}', 2) AS city, regexp_extract(base, '{MONO}', 3) AS gender, CAST(regexp_extract(base, '{MONO}', 4) AS INTEGER) AS age FROM wc WHERE ok AND family = 'monologue') SELECT city, gender, count(*) AS speakers, round(avg(age), 4) AS mean_age FROM p GROUP BY city, gender",
         "wada_snr": f"WITH {LEVEL} SELECT vec_id, round(v3, 4) AS statistic, round(snr, 4) AS snr FROM snr",
         "segment_frames": "WITH s AS (SELECT *, l_discount * 100 AS a, l_discount * 100 + l_quantity + l_tax * 10 - 2 AS b FROM lineitem), o AS (SELECT *, CAST(trunc(a) AS BIGINT) AS off FROM s), f AS (SELECT *, greatest(CAST(trunc(b) AS BIGINT) - off, 1) AS n1, greatest(CAST(trunc(b - off) AS BIGINT), 0) AS n2, greatest(CAST(trunc(b) AS BIGINT) - off, 0) AS n3 FROM o) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, least(n1, 64 - off) AS offset_first, least(n2, 64 - off) AS joint, least(n3, 64 - off) AS ends FROM f",
-        "unit_scale": "WITH w AS (SELECT vec_id, embedding AS q, list_transform(embedding, lambda x: x * 30000::FLOAT) AS l FROM embeddings), s AS (SELECT vec_id, q, l, CASE WHEN list_max(list_transform(q, lambda x: abs(x))) > 1 THEN 32768.0 ELSE 1.0 END AS dq, CASE WHEN list_max(list_transform(l, lambda x: abs(x))) > 1 THEN 32768.0 ELSE 1.0 END AS dl FROM w) SELECT vec_id, round(list_max(list_transform(q, lambda x: abs(x::DOUBLE / dq::DOUBLE))), 4) AS quiet_peak, round(list_max(list_transform(l, lambda x: abs(x::DOUBLE / dl::DOUBLE))), 4) AS loud_peak, round(list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i]::DOUBLE + l[i]::DOUBLE) / 2)), 2) AS mono_sum FROM s",
+        "unit_scale": "WITH w AS (SELECT vec_id, embedding AS q, list_transform(embedding, lambda x: x * 30000::FLOAT) AS l FROM embeddings), s AS (SELECT vec_id, q, l, CASE WHEN list_max(list_transform(q, lambda x: abs(x))) > 1 THEN 32768.0 ELSE 1.0 END AS dq, CASE WHEN list_max(list_transform(l, lambda x: abs(x))) > 1 THEN 32768.0 ELSE 1.0 END AS dl FROM w) SELECT vec_id, round(list_max(list_transform(q, lambda x: abs(x::DOUBLE / dq::DOUBLE))), 4) AS quiet_peak, round(list_max(list_transform(l, lambda x: abs(x::DOUBLE / dl::DOUBLE))), 4) AS loud_peak, round(list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i]::DOUBLE + l[i]::DOUBLE) / 2)), 0) AS mono_sum FROM s",
         "log_softmax_slice": f"WITH {FRAMES}, u AS (SELECT vec_id, unnest(range(0, 8)) AS t, unnest(f) AS g FROM fr), x AS (SELECT vec_id, t, [g[3], g[4], g[5], g[8]] AS h FROM u), y AS (SELECT vec_id, t, {softmax('h')} AS z FROM x) SELECT vec_id, t, round(z[1], 4) AS c0, round(z[2], 4) AS c1, round(z[3], 4) AS c2, round(z[4], 4) AS c3 FROM y",
         "ctc_greedy": f"WITH {FRAMES}, b AS (SELECT vec_id, f, {BEST} AS b FROM fr) SELECT vec_id, array_to_string(list_transform(list_filter(range(1, 9), lambda i: b[i] <> 7 AND (i = 1 OR b[i] <> b[i - 1])), lambda i: b[i]), ' ') AS ids, round(list_sum(list_transform(f, lambda g: list_max(g))), 4) AS greedy_logprob FROM b",
         "forced_score": f"WITH {SCORED} SELECT vec_id, error, round(forced_logprob, 4) AS forced_logprob, round(greedy_logprob, 4) AS greedy_logprob, round(score, 4) AS score, round(lr_per_frame, 4) AS lr_per_frame FROM scored",

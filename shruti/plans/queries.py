@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -255,7 +256,7 @@ def unit_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = views.waveforms(spark, sf_dir).withColumn("loud", F.transform("wav", lambda x: x * 30000))
     peak = lambda c: F.round(F.array_max(F.transform(signal.unit_scaled(c), F.abs)), 4)
     both = F.aggregate(signal.mono(F.array("wav", "loud")), F.lit(0.0), lambda s, x: s + x)
-    return w.select("vec_id", peak(F.col("wav")).alias("quiet_peak"), peak(F.col("loud")).alias("loud_peak"), F.round(both, 2).alias("mono_sum"))
+    return w.select("vec_id", peak(F.col("wav")).alias("quiet_peak"), peak(F.col("loud")).alias("loud_peak"), F.round(both, 0).alias("mono_sum"))
 
 
 @query
@@ -310,7 +311,6 @@ def qc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def resample_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Waveforms as 8 kHz files: their headers, and what converting gives."""
-    import pandas as pd
 
     @F.pandas_udf("binary")
     def as_file(wavs: pd.Series) -> pd.Series:
