@@ -39,7 +39,7 @@ def char_edits(ref: Column, hyp: Column) -> Column:
 def error_rates(ref: Column, hyp: Column) -> Column:
     """struct(WER, CER) in percent of normalised texts, rounded to 4: 0 if both are empty, -1 if the reference is, 100 if the hypothesis is."""
     r, h = F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit(""))
-    rate = lambda edits, n: F.round(100.0 * edits / n, 4)
+    rate = lambda edits, n: F.round(F.try_divide(100.0 * edits, n), 4)
     return (
         F.when((r == "") & (h == ""), F.struct(F.lit(0.0).alias("WER"), F.lit(0.0).alias("CER")))
         .when(r == "", F.struct(F.lit(-1.0).alias("WER"), F.lit(-1.0).alias("CER")))

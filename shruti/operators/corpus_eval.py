@@ -39,7 +39,7 @@ def summarize(results: DataFrame, *by: str, compat_failed_rows: bool = False) ->
         "_words": when(F.size(words(ref))), "_chars": when(F.char_length(ref)), "_word_edits": when(word_edits(ref, hyp)), "_char_edits": when(char_edits(ref, hyp)),
     })
     mean = lambda c: F.coalesce(F.round(F.avg(when(F.col(c))), 4), F.lit(0.0))
-    rate = lambda edits, length: F.coalesce(F.round(100.0 * F.sum(edits) / F.sum(length), 4), F.lit(0.0))
+    rate = lambda edits, length: F.coalesce(F.round(F.try_divide(100.0 * F.sum(edits), F.sum(length)), 4), F.lit(0.0))
     return rows.groupBy(*by).agg(
         n.alias("n"), (F.count(F.lit(1)) - n).alias("n_skipped"), mean("WER").alias("avg_wer"), mean("CER").alias("avg_cer"),
         rate("_word_edits", "_words").alias("corpus_wer"), rate("_char_edits", "_chars").alias("corpus_cer"),

@@ -28,12 +28,12 @@ def score(rows: DataFrame, n_classes: int, blank: int, seconds: str = "audio_dur
     fail = F.lit(ctc.FAIL_SCORE)
     gap = F.col("_forced") - F.col("_greedy")
     out = out.withColumns({
-        "forced_logprob": F.coalesce("_forced", fail), "greedy_logprob": F.coalesce("_greedy", fail), "score": F.coalesce(gap / F.col("target_length"), fail),
-        "lr_per_frame": F.coalesce(gap / F.col("audio_frames"), fail),
+        "forced_logprob": F.coalesce("_forced", fail), "greedy_logprob": F.coalesce("_greedy", fail), "score": F.coalesce(F.try_divide(gap, F.col("target_length")), fail),
+        "lr_per_frame": F.coalesce(F.try_divide(gap, F.col("audio_frames")), fail),
     }).drop("_forced", "_greedy")
     if not with_path:
         return out
-    shift = F.col(seconds) / F.col("audio_frames")
+    shift = F.try_divide(F.col(seconds), F.col("audio_frames"))
     out = out.withColumn("_a", ctc.align_udf(blank)(F.when(ok, frames), F.when(ok, target)))
     out = out.withColumn("_spans", ctc.spans(F.col("_a.path"), blank))
     out = out.withColumn("_token_scores", ctc.token_scores(F.col("_spans"), F.col("_a.scores")))
@@ -75,7 +75,7 @@ def summary(scored: DataFrame, compat_sentinel: bool = False) -> DataFrame:
     good = F.col("score") > -90 if compat_sentinel else F.col("error") == ""
     finite = ~F.isnan("snr") & (F.abs("snr") != float("inf"))
     n, accepted = F.count(F.lit(1)), F.coalesce(F.sum(F.col("pass").cast("long")), F.lit(0))
-    share = lambda c: F.round(F.coalesce(100.0 * c / n, F.lit(0.0)), 4)
+    share = lambda c: F.round(F.coalesce(F.try_divide(100.0 * c, n), F.lit(0.0)), 4)
     return scored.agg(
         n.alias("total"), accepted.alias("accepted"), (n - accepted).alias("rejected"), share(accepted).alias("accepted_percent"), share(n - accepted).alias("rejected_percent"),
         *distribution(F.when(good, F.col("score")), "score"), *distribution(F.when(finite, F.col("snr")), "snr"),

@@ -21,6 +21,8 @@ from ..functions import recording, signal
 
 #: Where a corpus keeps its audio, in order of preference, and what counts as audio where.
 SUBDIRS = ("Audio", "audio", "audio_16k", "wav")
+#: Longer than any path: what is left of a string.
+MAX_PATH = 1 << 20
 INDEXED = r"(?i)\.(wav|flac)$"
 SCANNED = r"\.(wav|flac|mp3|ogg|m4a|opus|aac)$"
 
@@ -39,7 +41,7 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
 def index(listing: DataFrame, root: str) -> DataFrame:
     """basename and path, one for each basename: of the preferred subfolder, then the first by path."""
     inside = F.regexp_replace("path", r"^[a-z]+:/+", "/")
-    sub = F.regexp_extract(F.substring(inside, len(root.rstrip("/")) + 2, 1 << 20), "^[^/]+", 0)
+    sub = F.regexp_extract(F.substring(inside, len(root.rstrip("/")) + 2, MAX_PATH), "^[^/]+", 0)
     rank = F.array_position(F.array(*map(F.lit, SUBDIRS)), sub)
     ranked = listing.where(F.col("path").rlike(INDEXED)).withColumn("_rank", rank).where("_rank > 0").withColumn("basename", recording.basename(F.col("path")))
     return ranked.groupBy("basename").agg(F.min(F.struct("_rank", "path")).alias("_m")).select("basename", F.col("_m.path").alias("path"))
@@ -131,7 +133,7 @@ def output_path(path, source: str, target: str | None):
     """Column: the same place below another root, ending in .wav; without one the path itself."""
     if target is None:
         return path
-    inside = F.substring(path, len(source.rstrip("/")) + 2, 1 << 20)
+    inside = F.substring(path, len(source.rstrip("/")) + 2, MAX_PATH)
     return F.concat(F.lit(target.rstrip("/") + "/"), F.regexp_replace(inside, r"\.[^./]*$", ".wav"))
 
 
