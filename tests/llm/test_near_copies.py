@@ -104,8 +104,8 @@ def test_vectors_bound_the_difference():
     for _ in range(100):
         a, b = (np.unique(r.integers(0, 1 << 63, 300, dtype=np.uint64)[: r.integers(1, 300)]) for _ in "ab")
         b = np.union1d(b, a[: r.integers(0, len(a) + 1)])
-        x, y = (np.frombuffer(nc.vector(s), np.uint8).astype(int) for s in (a, b))
-        assert np.abs(x - y).sum() <= len(np.setxor1d(a, b))
+        x, y = (nc.vectors([nc.vector(s)]) for s in (a, b))
+        assert nc.distances(x, y)[0] <= len(np.setxor1d(a, b))
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -127,3 +127,24 @@ def test_components(spark, seed):
 
     got = {row.node: row.component for row in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: least(x) for x in near if near[x] - {x}}
+
+
+def test_wide_vectors_never_rule_out_similar_sets():
+    r = np.random.default_rng(2)
+    ruled_out = 0
+    for _ in range(300):
+        a = np.unique(r.integers(0, 1 << 63, r.integers(1, 700), dtype=np.uint64))
+        b = np.union1d(a[r.random(len(a)) > r.choice([0, 0.05, 0.1, 0.3])], r.integers(0, 1 << 63, r.integers(0, 60), dtype=np.uint64))
+        if not len(b):
+            continue
+        possible = nc.may_be_similar(nc.wide_vector(a), nc.wide_vector(b), 90)
+        assert possible or not nc.similar_sets(a.tobytes(), b.tobytes(), 90)
+        ruled_out += not possible
+    assert ruled_out > 100
+
+
+def test_a_set_with_very_many_pairs(spark, monkeypatch):
+    monkeypatch.setattr(nc, "GROUP", 5)
+    rows = [(i, t) for i, t in enumerate(drift(4, 60, 100, 4))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert plain(nc.digest(df), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, 90), key=repr)
