@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Paths that each open scratch has, the innermost last.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside goes at the end, but for results stored with ``keep``, which are the enclosing scratch's.
+
+    Dropped frames let Spark's cleaner remove their shuffle files; it is asked to, as an operator may leave many.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage: a lost executor never recomputes what lies before it, and
@@ -44,6 +67,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    owner = len(_SCRATCH) - (2 if keep else 1)
+    if owner >= 0:
+        _SCRATCH[owner].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, column, per_batch, stored, text_key, utf8
+from .common import chunks, column, per_batch, scratch, stored, text_key, utf8
 from .fm_index import FMIndex
 from .hashing import ODD, U, doubled, mix, windows, words
 
@@ -43,7 +43,8 @@ GRAM = 16
 #: An anchor with more different snippets than this is split into windows.
 MANY = 1000
 SHARD_WORDS = 250_000
-BROADCAST_ROWS = 1_000_000
+#: Rows, or items of lists in them, that are broadcast at most: some 130 MB.
+BROADCAST_ROWS = 2_000_000
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -100,8 +101,9 @@ def scan_runs(rows: DataFrame, size: int) -> DataFrame:
 
 
 def small(df: DataFrame) -> DataFrame:
-    """A stored frame, to be broadcast if it is known to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """A stored frame, to be broadcast if it is known to be small; what its lists hold counts as rows."""
+    rows = F.sum(F.size("wanted")) if "wanted" in df.columns else F.count(F.lit(1))
+    return F.broadcast(df) if (df.agg(rows).first()[0] or 0) <= BROADCAST_ROWS else df
 
 
 def requests(df: DataFrame, *columns: str) -> DataFrame:
@@ -273,11 +275,12 @@ def repeats(docs: DataFrame, method: Callable[[int], Callable[[pa.Table], pa.Tab
     if size < 2 * GRAM:
         raise ValueError(f"windows of {2 * GRAM} words at least")
     rows = keyed(docs).where("doc_id is not null")
-    shared = shared_runs(rows, size)
-    verdicts = snippets(rows, shared, size).groupBy("shard").applyInArrow(method(size), VERDICT)
-    verdicts = stored(verdicts, "verdicts")
-    found = shared.select("snip", "doc_id", "ta", "at").join(small(verdicts), "snip").where("least < doc_id")
-    return found.select("doc_id", "ta", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") + size).alias("hi"), "least").distinct()
+    with scratch(docs.sparkSession):
+        shared = shared_runs(rows, size)
+        verdicts = stored(snippets(rows, shared, size).groupBy("shard").applyInArrow(method(size), VERDICT), "verdicts")
+        found = shared.select("snip", "doc_id", "ta", "at").join(small(verdicts), "snip").where("least < doc_id")
+        found = found.select("doc_id", "ta", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") + size).alias("hi"), "least").distinct()
+        return stored(found, "repeats", keep=True)
 
 
 def keyed(docs: DataFrame) -> DataFrame:

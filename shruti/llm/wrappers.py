@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, per_batch, stored, strings
+from .common import column, per_batch, scratch, stored, strings
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -293,7 +293,11 @@ def shapes(rows: DataFrame) -> DataFrame:
 
 def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
     """host, wrapper (JSON), content and plain (arrays of slot paths) of each host."""
-    seen = stored(shapes(pages), "shapes")
+    with scratch(pages.sparkSession):
+        return stored(_wrappers(stored(shapes(pages), "shapes"), salts), "wrappers", keep=True)
+
+
+def _wrappers(seen: DataFrame, salts: int) -> DataFrame:
 
     def merge(keys: list[str]):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -318,7 +322,7 @@ def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
         return pa.RecordBatch.from_arrays([column(batch, "host"), column(batch, "wrapper"), pa.array(lists[0], kind), pa.array(lists[1], kind)], names=["host", "wrapper", "content", "plain"])
 
     joined = merged.withColumnRenamed("shape", "wrapper").join(stats, "host", "left").select("host", "wrapper", "constant")
-    return stored(joined.mapInArrow(per_batch(decide), "host string, wrapper string, content array<string>, plain array<string>"), "wrappers")
+    return joined.mapInArrow(per_batch(decide), "host string, wrapper string, content array<string>, plain array<string>")
 
 
 def extract(pages: DataFrame, broadcast_bytes: int = 4 << 20, salts: int = 32) -> DataFrame:
