@@ -26,6 +26,7 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 from math import comb
 
@@ -34,21 +35,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, column, per_batch, stored, text_key, utf8
+from .common import chunks, column, per_batch, scratch, stored, text_key, utf8
 from .components import components
 from .hashing import ODD, U, mix, shingles, words
 
 CHUNK = 2 << 20
 #: Buckets of the count vectors, whose distance bounds the size of a symmetric difference from below.
-BUCKETS = 64
+BUCKETS = 256
 #: Bits of the table of frequent shingles; per task, only buckets far above the mean are reported.
-HOT_BITS = 16
+HOT_BITS = 20
 LEADERS = 8
 BLOCK = 2048
 #: The boundary is one of these sizes; enumerating a subset costs 1, scanning an entry of an inverted list this much.
 BOUNDARIES = (9, 19, 29, 39)
 ENTRY_COST = 6.0
 BROADCAST_ROWS = 1_000_000
+#: Pairs with one set that are compared in one task.
+GROUP = 1000
 
 
 def sets_of(texts: list[bytes], width: int):
@@ -63,7 +66,18 @@ def set_id(s: np.ndarray) -> int:
 
 
 def vector(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> U(40)) & U(BUCKETS - 1), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+    """Counts of elements by bucket up to 15, two to a byte."""
+    counts = np.minimum(np.bincount((s >> U(40)) & U(BUCKETS - 1), minlength=BUCKETS), 15).astype(np.uint8)
+    return (counts[::2] | counts[1::2] << 4).tobytes()
+
+
+def vectors(column: list[bytes]) -> np.ndarray:
+    packed = np.frombuffer(b"".join(column), np.uint8).reshape(-1, BUCKETS // 2)
+    return np.concatenate([packed & 15, packed >> 4], 1).view(np.int8)
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.abs(x - y).sum(1, dtype=np.int64)
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -88,7 +102,7 @@ def scan_sets(rows: DataFrame, width: int) -> DataFrame:
                     seen += np.bincount((np.concatenate(sets) >> U(64 - HOT_BITS)).astype(np.int64), minlength=1 << HOT_BITS)
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "ta"), *(pa.array(c, k) for c, k in zip((n, sid, vec, [False] * len(n)), kinds[2:]))], names=names)
         mean = seen.mean()
-        hot = np.flatnonzero(seen > mean + 5 * mean**0.5 + 4)
+        hot = np.flatnonzero(seen > mean + 4 * mean**0.5 + 4)
         if len(hot):
             nulls = pa.nulls(len(hot), pa.int64())
             yield pa.RecordBatch.from_arrays([nulls, nulls, pa.array(np.minimum(seen[hot], 2**31 - 1).astype(np.int32)), pa.array(hot), pa.nulls(len(hot), pa.binary()), pa.array(np.ones(len(hot), bool))], names=names)
@@ -116,7 +130,7 @@ def postings(rows: DataFrame, width: int, percent: int, light: int, hot: dict[in
 
     A set's entries are given once per task, however many copies it has.
     """
-    rank = np.zeros(1 << HOT_BITS, np.uint64)
+    rank = np.zeros(1 << HOT_BITS, np.uint16)
     for bucket, count in hot.items():
         rank[bucket] = min(count, (1 << 16) - 1)
 
@@ -143,7 +157,7 @@ def postings(rows: DataFrame, width: int, percent: int, light: int, hot: dict[in
                             keys = mixed.sum(keepdims=True, dtype=np.uint64) - mixed[out].sum(1, dtype=np.uint64)
                             add(1, mix(keys * ODD[5] + U(n - missed)), sid, n - missed, np.full(len(keys), missed))
                     if 100 * n > percent * light:
-                        order = np.argsort(rank[(s >> U(64 - HOT_BITS)).astype(np.int64)] << U(48) | (s & U((1 << 48) - 1)), kind="stable")
+                        order = np.argsort(rank[(s >> U(64 - HOT_BITS)).astype(np.int64)].astype(np.uint64) << U(48) | (s & U((1 << 48) - 1)), kind="stable")
                         p = n - least_overlap(n, percent) + 1
                         add(0, s[order[:p]], sid, n, np.arange(p))
             if parts[0]:
@@ -159,14 +173,14 @@ def may_match(n, m, i, j, percent: int):
     return enough & (most * (100 + percent) >= (n + m) * percent)
 
 
-def vector_filter(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
+def vector_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose count vectors don't rule them out."""
-    va, vb = (vectors.select(F.col("sid").alias(x), F.col("vec").alias(f"vec_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    va, vb = (reps.select(F.col("sid").alias(x), F.col("vec").alias(f"vec_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = (np.frombuffer(b"".join(column(batch, c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for c in ("vec_a", "vec_b"))
+        x, y = (vectors(column(batch, c).to_pylist()) for c in ("vec_a", "vec_b"))
         total = column(batch, "n_a").to_numpy().astype(np.int64) + column(batch, "n_b").to_numpy()
-        keep = pa.array(may_differ(np.abs(x - y).sum(1), total, percent))
+        keep = pa.array(may_differ(distances(x, y), total, percent))
         return pa.RecordBatch.from_arrays([column(batch, c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
     return pairs.join(va, "a").join(vb, "b").mapInArrow(per_batch(run), "a long, b long")
@@ -177,35 +191,71 @@ def may_differ(distance: np.ndarray, total: np.ndarray, percent: int) -> np.ndar
     return distance * (100 + percent) <= total * (100 - percent)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set ids that are similar, by their sets; these are made anew from one document each.
+def similar_sets(s: bytes, t: bytes, percent: int) -> bool:
+    """By the sets' elements."""
+    x, y = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-    reps: sid, doc_id, ta. The sets go once to each pair they are second in.
-    """
-    pairs = stored(pairs, "pairs")
-    wanted = reps.join(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "sid").select("doc_id", "ta", "sid")
-    wanted = stored(wanted, "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for _, _, part in sets_of(utf8(batch), width) for s in part]
-        return pa.RecordBatch.from_arrays([column(batch, "sid"), pa.array(sets, pa.binary())], names=["sid", "set"])
+def wide_vector(s: np.ndarray) -> bytes:
+    """The size, and counts in as many buckets as there are elements or more: an eighth of the set's bytes, with hardly any two elements in one."""
+    width = 1 << max(8, (len(s) - 1).bit_length())
+    return len(s).to_bytes(8, "little") + np.minimum(np.bincount((s >> U(20)) & U(width - 1), minlength=width), 255).astype(np.uint8).tobytes()
 
-    sets = docs.join(wanted, ["doc_id", "ta"]).select("sid", "text").mapInArrow(per_batch(make), "sid long, set binary")
-    sets = stored(sets.dropDuplicates(["sid"]), "sets")
 
-    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for x, y in zip(column(batch, "x").to_pylist(), column(batch, "y").to_pylist()):
-            s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(s) + len(t) - len(np.union1d(s, t))
-            keep.append(100 * both >= percent * (len(s) + len(t) - both))
-        keep = pa.array(keep, pa.bool_())
-        return pa.RecordBatch.from_arrays([column(batch, c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+def may_be_similar(s: bytes, t: bytes, percent: int) -> bool:
+    """By wide vectors; the wider one is folded."""
+    x, y = (np.frombuffer(v, np.uint8, offset=8).astype(np.int32) for v in sorted((s, t), key=len))
+    y = y.reshape(-1, len(x)).sum(0)
+    total = int.from_bytes(s[:8], "little") + int.from_bytes(t[:8], "little")
+    # a count of 255 may stand for more, so nothing is known of its bucket
+    distance = np.abs(x - y)[(x < 255) & (y < 255)].sum()
+    return bool(may_differ(distance, total, percent))
+
+
+def compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int, what: Callable[[np.ndarray], bytes], test: Callable[[bytes, bytes, int], bool]) -> DataFrame:
+    """The pairs (a, b) of set ids that pass a test on what is made of their sets; these are made anew from one document each.
 
-    joined = pairs.join(sets.select(F.col("sid").alias("b"), F.col("set").alias("y")), "b").join(sets.select(F.col("sid").alias("a"), F.col("set").alias("x")), "a")
-    return joined.select("a", "b", "x", "y").mapInArrow(per_batch(compare), "a long, b long")
+    pairs: stored; reps: sid, doc_id, ta. Of each pair, what is of ``a`` goes to
+    ``b``; a ``b`` of very many pairs is copied to several tasks.
+    """
+    sizes = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"))
+    firsts = pairs.join(sizes, "b").select(F.col("a").alias("sid"), "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), "a")
+    seconds = sizes.select(F.col("b").alias("sid"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("a"))
+    asked = firsts.unionByName(seconds).groupBy("sid").agg(F.collect_list(F.struct("b", "part", "a")).alias("asked"))
+    wanted = stored(reps.join(asked, "sid").select("doc_id", "ta", "sid", "asked"), "wanted")
+    if (wanted.agg(F.sum(F.size("asked"))).first()[0] or 0) <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+
+    def send(batches):
+        given: set[int] = set()  # repeated rows give their sets once per task
+        for batch in batches:
+            texts, sids, lists = utf8(batch), column(batch, "sid").to_pylist(), column(batch, "asked").to_pylist()
+            for first, until, sets in sets_of(texts, width):
+                rows = []
+                for sid, s, asks in zip(sids[first:until], sets, lists[first:until]):
+                    if sid not in given:
+                        given.add(sid)
+                        made = what(s)
+                        rows += [(x["b"], x["part"], x["a"], made) for x in asks]
+                for k, m in chunks([len(r[3]) for r in rows], 4 * CHUNK):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:m]), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["b", "part", "a", "made"])
+
+    def compare(batches):
+        at, of_b = None, b""
+        for batch in batches:
+            found = []
+            for b, part, a, made in zip(*(column(batch, c).to_pylist() for c in ("b", "part", "a", "made"))):
+                if a is None:
+                    at, of_b = (b, part), made
+                elif at == (b, part) and test(made, of_b, percent):
+                    found.append((a, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    sent = docs.join(wanted, ["doc_id", "ta"]).select("sid", "asked", "text").mapInArrow(send, "b long, part int, a long, made binary")
+    return sent.repartition("b", "part").sortWithinPartitions("b", "part", "a").mapInArrow(compare, "a long, b long")
 
 
 def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -219,33 +269,71 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     copies = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     copies = copies.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "sid", "n", "at", "rank", "component", "vec")
 
-    def pairs_of(g: dict[str, np.ndarray], vec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found_a, found_b = [], []
-        n, at, own, comp, rank = (g[c].astype(np.int64) for c in ("n", "at", "_own", "component", "rank"))
-        for d in range(1, len(n)):
-            x, y = np.arange(len(n) - d), np.arange(d, len(n))
-            near = 100 * n[x] >= percent * n[y]  # sorted by size
-            if not near.any():
-                break
-            ok = near & (comp[x] != comp[y]) & ((own[x] != own[y]) if g["i"][0] != g["j"][0] else True) & (np.minimum(rank[x], rank[y]) > LEADERS)
-            most = np.minimum(at[x], at[y]) + np.minimum(n[x] - at[x], n[y] - at[y])
-            ok &= most * (100 + percent) >= (n[x] + n[y]) * percent
-            x, y = x[ok], y[ok]
-            for a in range(0, len(x), 4096):
-                p, q = x[a : a + 4096], y[a : a + 4096]
-                keep = may_differ(np.abs(vec[p] - vec[q]).sum(1), n[p] + n[q], percent)
-                found_a.append(g["sid"][p[keep]])
-                found_b.append(g["sid"][q[keep]])
-        return (np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64),) * 2
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n", "ascending"), ("sid", "ascending")])
-        g = {c: table.column(c).to_numpy() for c in table.column_names if c != "vec"}
-        vec = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
-        a, b = pairs_of(g, vec)
-        return pa.table({"a": pa.array(np.maximum(a, b)), "b": pa.array(np.minimum(a, b))})
-
-    return copies.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    dealt = copies.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "sid")
+    return dealt.mapInArrow(lambda batches: _scan_lists(batches, percent, LEADERS), "a long, b long").distinct()
+
+
+def _scan_lists(batches, percent: int, leaders: int):
+    """Candidate pairs of sorted list entries, list by list; a list that a batch ends in is carried over, which is two blocks at most."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        if not table.num_rows:
+            continue
+        marks = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+        last = int(np.flatnonzero((marks != marks[:, -1:]).any(0))[-1]) + 1 if (marks != marks[:, -1:]).any() else 0
+        rest = table.slice(last).combine_chunks()
+        if last:
+            yield from _list_pairs(table.slice(0, last), percent, leaders)
+    if rest is not None:
+        yield from _list_pairs(rest, percent, leaders)
+
+
+def _list_pairs(table: pa.Table, percent: int, leaders: int):
+    key, i, j, own, sid, n, at, rank, comp = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j", "_own", "sid", "n", "at", "rank", "component"))
+    vec = vectors(table.column("vec").to_pylist())
+    x = np.arange(len(key))
+    for d in range(1, len(key)):  # entries d apart; those that are too far apart for one list or in size have no partner further on either
+        x = x[x + d < len(key)]
+        y = x + d
+        near = (key[x] == key[y]) & (i[x] == i[y]) & (j[x] == j[y]) & (100 * n[x] >= percent * n[y])
+        x, y = x[near], y[near]
+        if not len(x):
+            return
+        most = np.minimum(at[x], at[y]) + np.minimum(n[x] - at[x], n[y] - at[y])
+        ok = (comp[x] != comp[y]) & ((own[x] != own[y]) | (i[x] == j[x])) & (np.minimum(rank[x], rank[y]) > leaders) & (most * (100 + percent) >= (n[x] + n[y]) * percent)
+        p, q = x[ok], y[ok]
+        for a in range(0, len(p), 8192):
+            u, v = p[a : a + 8192], q[a : a + 8192]
+            keep = may_differ(distances(vec[u], vec[v]), n[u] + n[v], percent)
+            if keep.any():
+                u, v = sid[u[keep]], sid[v[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["a", "b"])
+
+
+def joined_by(pairs: DataFrame, edges: DataFrame | None, rows: DataFrame, reps: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(edges, classes) after the similar ones of ``pairs`` are added to the edges.
+
+    One pair of each set is verified first; after that only pairs that still lie
+    between different classes, so a group of n near copies needs about n comparisons.
+    """
+    spark = rows.sparkSession
+    with scratch(spark):
+        pairs = stored(pairs, "pairs", keep=True)
+    with scratch(spark):
+        first = stored(pairs.groupBy("a").agg(F.min("b").alias("b")), "pairs-first", keep=True)
+        found = compared(first, rows, reps, width, percent, np.ndarray.tobytes, similar_sets)
+        edges = stored(found if edges is None else edges.unionByName(found), "edges", keep=True)
+        classes = stored(components(edges), "classes", keep=True)
+    with scratch(spark):
+        of = lambda c: classes.select(F.col("node").alias(c), F.col("component").alias(f"class_{c}"))
+        left = pairs.join(first, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        left = stored(left.where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b"), "pairs-left")
+        if left.limit(1).count():
+            left = stored(compared(left, rows, reps, width, percent, wide_vector, may_be_similar), "pairs-near")
+            edges = stored(edges.unionByName(compared(left, rows, reps, width, percent, np.ndarray.tobytes, similar_sets)), "edges", keep=True)
+            classes = stored(components(edges), "classes", keep=True)
+    return edges, classes
 
 
 def similar(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
@@ -263,7 +351,10 @@ def similar(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFra
     light = boundary({r.n: r.c for r in counted if r.n <= top}, float(sum(r.e for r in counted if r.n > top)), percent)
 
     given = postings(rows.where("doc_id is not null"), width, percent, light, hot)
-    given = stored(given.repartition("kind", "key").dropDuplicates(["kind", "key", "sid"]), "postings")
+    # Entries that are alone in their list go at once; the others get their rank in it.
+    by_sid = Window.partitionBy("kind", "key").orderBy("sid")
+    given = given.repartition("kind", "key").dropDuplicates(["kind", "key", "sid"]).withColumn("rank", F.row_number().over(by_sid)).withColumn("_next", F.lead("sid").over(by_sid))
+    given = stored(given.where("rank > 1 or _next is not null").drop("_next"), "lists")
 
     # Light sets: a star around the one that misses least, for each subset.
     subset = given.where("kind = 1")
@@ -271,29 +362,29 @@ def similar(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFra
     both = (F.col("at") + F.col("l.at")) * percent <= F.col("n") * (100 - percent)
     light_edges = subset.join(star, "key").where(both & (F.col("sid") != F.col("l.sid"))).select(F.col("sid").alias("a"), F.col("l.sid").alias("b"))
 
-    # Heavy sets: entries that are alone in their list go; the others get their rank in it.
-    by_sid = Window.partitionBy("key").orderBy("sid")
-    lists = given.where("kind = 0").withColumn("rank", F.row_number().over(by_sid)).withColumn("_next", F.lead("sid").over(by_sid))
-    lists = stored(lists.where("rank > 1 or _next is not null").select("key", "sid", "n", "at", "rank"), "lists")
+    # Heavy sets: each is compared with the leaders of its lists.
+    lists = given.where("kind = 0").select("key", "sid", "n", "at", "rank")
     leaders = lists.where(F.col("rank") <= LEADERS).select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("at").alias("at_b"), F.col("rank").alias("rank_b"))
     pairs = lists.join(leaders, "key").where(F.col("rank") > F.col("rank_b")).where(may_match(F.col("n"), F.col("m"), F.col("at"), F.col("at_b"), percent))
     pairs = pairs.select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct()
-    first = verified(vector_filter(pairs, reps, percent), rows, reps, width, percent)
-    edges = stored(light_edges.unionByName(first), "edges-first")
-    classes = stored(components(edges), "classes-first")
+    edges, classes = joined_by(vector_filter(pairs, reps, percent), light_edges, rows, reps, width, percent)
 
     labelled = lists.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     long_lists = lists.where(F.col("rank") > LEADERS + 1).select("key").distinct()
     more = cross_pairs(labelled.join(long_lists, "key", "left_semi").join(reps.select("sid", "vec"), "sid"), percent)
     more = stored(more, "cross")
     if more.limit(1).count():
-        second = verified(more, rows, reps, width, percent)
-        classes = stored(components(edges.unionByName(second)), "classes")
+        _, classes = joined_by(more, edges, rows, reps, width, percent)
     return members, classes
 
 
 def labelled(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, ta, n_shingles, component_id of each row, and first_ta: with component_id the first row of the component."""
+    with scratch(docs.sparkSession):
+        return stored(_labelled(docs, width, percent), "labelled", keep=True)
+
+
+def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     members, classes = similar(docs, width, percent)
     of_set = members.where("n > 0 and doc_id is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "ta")).alias("least"))
     linked = of_set.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
@@ -315,7 +406,7 @@ def keep_one(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     Rows with an empty set or a null id all stay.
     """
-    marked = stored(labelled(docs, width, percent), "labelled").where("doc_id is not null and n_shingles > 0")
+    marked = labelled(docs, width, percent).where("doc_id is not null and n_shingles > 0")
     gone = marked.where("component_id <> doc_id or first_ta <> ta").select("doc_id", "ta").distinct()
     again = marked.where("component_id = doc_id and first_ta = ta").groupBy("doc_id", "ta").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "ta")
     special = gone.withColumn("__again", F.lit(False)).unionByName(again.withColumn("__again", F.lit(True)))
