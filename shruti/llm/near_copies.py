@@ -13,7 +13,8 @@ A long list is scanned in two rounds. First each set is compared with the list's
 few leaders. Sets that are one component by then need no more; all pairs of
 different components are compared in the second round, in blocks of bounded
 size. So a group of near copies costs about its size, and no link between
-different components is lost.
+different components is lost. ``linked`` compares all pairs of sets within each
+class, in blocks, and so gives every document its whole number of links.
 
 Copies of a set are collapsed by a 64-bit sum of mixed shingle hashes. Nothing
 but histograms of bounded size reaches the driver.
@@ -52,6 +53,9 @@ ENTRY_COST = 6.0
 BROADCAST_ROWS = 1_000_000
 #: Pairs with one set that are compared in one task.
 GROUP = 1000
+#: Sets of one class, and elements of them, that one side of a block of pairs holds.
+CLASS_SETS = 1024
+CLASS_ELEMENTS = 1 << 20
 
 
 def sets_of(texts: list[bytes], width: int):
@@ -381,11 +385,10 @@ def similar(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFra
 def labelled(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, ta, n_shingles, component_id of each row, and first_ta: with component_id the first row of the component."""
     with scratch(docs.sparkSession):
-        return stored(_labelled(docs, width, percent), "labelled", keep=True)
+        return stored(_label(*similar(docs, width, percent)).drop("sid"), "labelled", keep=True)
 
 
-def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    members, classes = similar(docs, width, percent)
+def _label(members: DataFrame, classes: DataFrame) -> DataFrame:
     of_set = members.where("n > 0 and doc_id is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "ta")).alias("least"))
     linked = of_set.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     of_class = linked.groupBy("component").agg(F.min("least").alias("first"))
@@ -393,7 +396,7 @@ def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
     alone = F.struct("doc_id", "ta")
     first = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("first")).otherwise(alone)
     out = members.join(label, "sid", "left").withColumn("first", first)
-    return out.select("doc_id", "ta", F.col("n").cast("long").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), F.col("first.ta").alias("first_ta"))
+    return out.select("doc_id", "ta", F.col("n").cast("long").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), F.col("first.ta").alias("first_ta"), "sid")
 
 
 def digest(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -401,6 +404,99 @@ def digest(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     return labelled(docs, width, percent).select("doc_id", "n_shingles", "component_id")
 
 
+def links_of_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """sid, links: the rows with another set that is similar, for every set that has such rows.
+
+    Similar sets are of one class, so all pairs of a class are compared, by their
+    elements. A large class is cut into blocks by hash; a task holds two at a time.
+    """
+    reps = members.where("n > 0 and doc_id is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "ta")).alias("r"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    linked = reps.join(classes.select(F.col("node").alias("sid"), "component"), "sid")
+    sizes = linked.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CLASS_SETS), F.ceil(F.sum(F.col("n").cast("long")) / CLASS_ELEMENTS)).cast("int").alias("blocks"))
+    wanted = stored(linked.join(sizes, "component").select("r.doc_id", "r.ta", "sid", "copies", "component", "blocks"), "class-sets")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    names, kinds = ["component", "blocks", "sid", "copies", "n", "made"], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+
+    def send(batches):
+        given: set[int] = set()  # repeated rows give their sets once per task
+        for batch in batches:
+            fixed = [column(batch, c).to_pylist() for c in names[:4]]
+            for first, until, sets in sets_of(utf8(batch), width):
+                rows = []
+                for k, s in zip(range(first, until), sets):
+                    if fixed[2][k] not in given:
+                        given.add(fixed[2][k])
+                        rows.append((*(c[k] for c in fixed), len(s), s.tobytes()))
+                for k, m in chunks([len(r[5]) for r in rows], 4 * CHUNK):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:m]), kinds)], names=names)
+
+    def compare(batches):
+        at, group = (0, 0, 0), []
+        for batch in batches:
+            found = []
+            for c, i, j, *entry in zip(*(column(batch, c).to_pylist() for c in ("component", "i", "j", "own", "sid", "copies", "made"))):
+                if (c, i, j) != at:
+                    found.append(_count_links(group, at[1] != at[2], percent))
+                    at, group = (c, i, j), []
+                if not group or group[-1][1] != entry[1]:  # tasks may each have given the set of a repeated row
+                    group.append(entry)
+            yield from map(_counts, found)
+        yield _counts(_count_links(group, at[1] != at[2], percent))
+
+    sent = docs.join(wanted, ["doc_id", "ta"]).select(*names[:4], "text").mapInArrow(send, "component long, blocks int, sid long, copies long, n int, made binary")
+    sent = sent.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "sid", "copies", "made")
+    dealt = sent.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "n", "sid")
+    return dealt.mapInArrow(compare, "sid long, links long").groupBy("sid").agg(F.sum("links").alias("links"))
+
+
+def _counts(found: dict[int, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["sid", "links"])
+
+
+def _count_links(group: list, across: bool, percent: int) -> dict[int, int]:
+    """Rows linked to each set by the pairs of one group, or by those of different blocks; group: block, sid, copies and elements by rising size."""
+    if len(group) < 2:
+        return {}
+    own, sid, copies = (np.array([g[k] for g in group]) for k in range(3))
+    sets = [np.frombuffer(g[3], np.uint64) for g in group]
+    n = np.array([len(s) for s in sets])
+    offsets = np.concatenate([[0], np.cumsum(n)])
+    distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(distinct), np.uint8)
+    links = np.zeros(len(group), np.int64)
+    for x in range(len(group) - 1):
+        until = int(np.searchsorted(n, 100 * int(n[x]) // percent, "right"))  # larger ones can't be similar
+        if until <= x + 1:
+            continue
+        mine = flat[offsets[x] : offsets[x + 1]]
+        mark[mine] = 1
+        both = np.add.reduceat(mark[flat[offsets[x + 1] : offsets[until]]], offsets[x + 1 : until] - offsets[x + 1], dtype=np.int64)
+        mark[mine] = 0
+        like = 100 * both >= percent * (n[x] + n[x + 1 : until] - both)
+        if across:
+            like &= own[x + 1 : until] != own[x]
+        links[x] += copies[x + 1 : until][like].sum()
+        links[x + 1 : until][like] += copies[x]
+    return {int(s): int(c) for s, c in zip(sid, links) if c}
+
+
+def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id as ``digest``, and n_links: how many other rows each is similar to, copies included.
+
+    A row with an empty set or a null id has no links and is none.
+    """
+    with scratch(docs.sparkSession):
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", text_key()[0].alias("ta"), "text")
+        members, classes = similar(docs, width, percent)
+        found = links_of_sets(rows, members, classes, width, percent)
+        copies = members.where("n > 0 and doc_id is not null").groupBy("sid").agg((F.count(F.lit(1)) - 1).alias("copies"))
+        each = _label(members, classes).join(copies.join(found, "sid", "left"), "sid", "left")
+        n_links = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("copies") + F.coalesce("links", F.lit(0))).otherwise(0)
+        return stored(each.select("doc_id", "n_shingles", "component_id", n_links.cast("long").alias("n_links")), "linked", keep=True)
+
+
 def keep_one(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with all their columns; of repeated rows one stays.
 

@@ -53,10 +53,14 @@ def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.linked(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media, op2_packing, op3_sparse_suffixes, op4_wrappers, op5_surrogates, op6_fm_index, op7_secrets, op8_quality, op9_near_copies, op10_decontamination)}
+    return {f.__name__: f for f in (op1_media, op2_packing, op3_sparse_suffixes, op4_wrappers, op5_surrogates, op6_fm_index, op7_secrets, op8_quality, op9_near_copies, op9_links, op10_decontamination)}
 

@@ -71,6 +71,28 @@ def test_small_blocks_and_few_leaders(spark, monkeypatch):
     assert plain(nc.digest(df), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, 90), key=repr)
 
 
+def links_by_force(rows, k, percent):
+    """One (doc_id, number of linked rows) per row."""
+    sets = [(i, shingle_set(t, k)) for i, t, *_ in rows]
+    like = lambda s, t: s and t and 100 * len(s & t) >= percent * len(s | t)
+    return sorted(((i, sum(1 for b, (j, t) in enumerate(sets) if a != b and None not in (i, j) and like(s, t))) for a, (i, s) in enumerate(sets)), key=repr)
+
+
+@pytest.mark.parametrize("blocks", [(1024, 1 << 20), (7, 1 << 20), (1024, 500)])
+def test_no_link_is_lost(spark, monkeypatch, blocks):
+    monkeypatch.setattr(nc, "CLASS_SETS", blocks[0])
+    monkeypatch.setattr(nc, "CLASS_ELEMENTS", blocks[1])
+    rows = [(i, t) for i, t in enumerate(drift(3, 60, 80, 3))] + [(1000 + i, f"{t} X") for i, t in enumerate(drift(4, 40, 14, 1))]
+    rows += [rows[0], rows[0], (None, rows[1][1]), (2000, None), (2001, ""), (2002, rows[2][1].upper())]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = nc.linked(df)
+    assert plain(got, "doc_id", "n_links") == links_by_force(rows, 3, 90)
+    assert plain(got, "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, 90), key=repr)
+    # within a group whose pairs are all similar, every pair counts, not only a tree of them
+    assert sum(n for _, n in plain(got, "doc_id", "n_links")) > 2 * len(rows)
+    assert nc.linked(df.limit(0)).count() == 0
+
+
 def test_without_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(nc, "BROADCAST_ROWS", -1)
     df, rows = documents(spark, 2)
