@@ -242,16 +242,20 @@ def slot_paths(wrapper: list, path: tuple = ()) -> list[tuple[tuple, bool]]:
     return list(dict(out[::-1]).items())[::-1]
 
 
-def main_slots(wrapper: list, constant: set[str]) -> tuple[list[str], list[str]]:
-    """Slots of main text: those in a container; and, for pages without one, all that aren't boilerplate.
+def may_hold_text(path: list[str] | tuple[str, ...]) -> bool:
+    return not any(s.endswith("-") for s in path)
 
-    constant: slots whose text is the same on all of several pages, which outside a container is template text.
+
+def main_slots(wrapper: list, constant: set[str]) -> tuple[list[str], list[str], list[str]]:
+    """Slots of main text: those in a container; for pages without one, all that aren't boilerplate; and, for pages with nothing else, template text too.
+
+    constant: slots whose text is the same on all of several different pages, which outside a container is template text.
     """
-    usable = [p for p, _ in slot_paths(wrapper) if not any(s.endswith("-") for s in p)]
+    usable = [p for p, _ in slot_paths(wrapper) if may_hold_text(p)]
     inside = [p for p in usable if any(s.endswith("+") for s in p)]
     articles = [p for p in inside if "article+" in p]
-    plain = [p for p in usable if "header" not in p and SEP.join(p) not in constant]
-    return [SEP.join(p) for p in (articles or inside)], [SEP.join(p) for p in plain]
+    whole = [SEP.join(p) for p in usable if "header" not in p]
+    return [SEP.join(p) for p in (articles or inside)], [p for p in whole if p not in constant], whole
 
 
 def text_of(page: str, slots: set[str]) -> str:
@@ -275,24 +279,27 @@ def text_of(page: str, slots: set[str]) -> str:
 
 
 def shapes(rows: DataFrame) -> DataFrame:
-    """host, shape (JSON) and slots of each page."""
+    """host, shape (JSON), slots and page of each page; page: a hash of what its slots hold, but for those outside the main text."""
     kind = pa.list_(pa.struct([("slot", pa.string()), ("chars", pa.int64()), ("hash", pa.int64())]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         import zlib
+        from hashlib import blake2b
 
-        made, found = [], []
+        made, found, contents = [], [], []
         for page in strings(batch, "html"):
             nodes, slots = shape(page)
             made.append(json.dumps(nodes, separators=(",", ":")))
             found.append([{"slot": k, "chars": sum(map(len, v)), "hash": zlib.crc32("\0".join(v).encode())} for k, v in slots.items()])
-        return pa.RecordBatch.from_arrays([column(batch, "host"), pa.array(made), pa.array(found, kind)], names=["host", "shape", "slots"])
+            held = json.dumps(sorted((k, v) for k, v in slots.items() if may_hold_text(k.split(SEP))))
+            contents.append(int.from_bytes(blake2b(held.encode(), digest_size=8).digest(), "big", signed=True))
+        return pa.RecordBatch.from_arrays([column(batch, "host"), pa.array(made), pa.array(found, kind), pa.array(contents, pa.int64())], names=["host", "shape", "slots", "page"])
 
-    return rows.select("host", "html").mapInArrow(per_batch(run), "host string, shape string, slots array<struct<slot:string,chars:long,hash:long>>")
+    return rows.select("host", "html").mapInArrow(per_batch(run), "host string, shape string, slots array<struct<slot:string,chars:long,hash:long>>, page long")
 
 
 def wrappers(pages: DataFrame, salts: int = 16) -> DataFrame:
-    """host, wrapper (JSON), content and plain (arrays of slot paths) of each host."""
+    """host, wrapper (JSON), content, plain and whole (arrays of slot paths) of each host."""
     with scratch(pages.sparkSession):
         return stored(_wrappers(stored(shapes(pages), "shapes"), salts), "wrappers", keep=True)
 
@@ -308,21 +315,21 @@ def _wrappers(seen: DataFrame, salts: int) -> DataFrame:
     distinct = seen.select("host", "shape").distinct().withColumn("_salt", F.pmod(F.xxhash64("shape"), F.lit(salts)))
     merged = merge(["host"])(merge(["host", "_salt"])(distinct))
     stats = (
-        seen.select("host", F.explode("slots").alias("s")).groupBy("host", "s.slot")
-        .agg(F.count(F.lit(1)).alias("pages"), (F.min("s.hash") == F.max("s.hash")).alias("same"))
+        seen.select("host", "page", F.explode("slots").alias("s")).groupBy("host", "s.slot")
+        .agg(F.countDistinct("page").alias("pages"), (F.min("s.hash") == F.max("s.hash")).alias("same"))
         .where("same and pages >= 3").groupBy("host").agg(F.collect_list("slot").alias("constant"))
     )
 
     def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists: list[list] = [[], []]
+        lists: list[list] = [[], [], []]
         for w, c in zip(column(batch, "wrapper").to_pylist(), column(batch, "constant").to_pylist()):
             for out, got in zip(lists, main_slots(json.loads(w), set(c or []))):
                 out.append(got)
         kind = pa.list_(pa.string())
-        return pa.RecordBatch.from_arrays([column(batch, "host"), column(batch, "wrapper"), pa.array(lists[0], kind), pa.array(lists[1], kind)], names=["host", "wrapper", "content", "plain"])
+        return pa.RecordBatch.from_arrays([column(batch, "host"), column(batch, "wrapper"), *(pa.array(x, kind) for x in lists)], names=["host", "wrapper", "content", "plain", "whole"])
 
     joined = merged.withColumnRenamed("shape", "wrapper").join(stats, "host", "left").select("host", "wrapper", "constant")
-    return joined.mapInArrow(per_batch(decide), "host string, wrapper string, content array<string>, plain array<string>")
+    return joined.mapInArrow(per_batch(decide), "host string, wrapper string, content array<string>, plain array<string>, whole array<string>")
 
 
 def extract(pages: DataFrame, broadcast_bytes: int = 4 << 20, salts: int = 32) -> DataFrame:
@@ -330,8 +337,8 @@ def extract(pages: DataFrame, broadcast_bytes: int = 4 << 20, salts: int = 32) -
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = rows.withColumn("host", host)
-    rules = wrappers(rows).select("host", "content", "plain")
-    size = rules.agg(F.sum(F.length(F.to_json(F.struct("host", "content", "plain"))))).first()[0] or 0
+    rules = wrappers(rows).select("host", "content", "plain", "whole")
+    size = rules.agg(F.sum(F.length(F.to_json(F.struct("host", "content", "plain", "whole"))))).first()[0] or 0
     if size <= broadcast_bytes:
         joined = rows.join(F.broadcast(rules), "host", "left")
     else:
@@ -341,14 +348,14 @@ def extract(pages: DataFrame, broadcast_bytes: int = 4 << 20, salts: int = 32) -
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = []
         sets: dict = {}
-        for page, content, plain in zip(strings(batch, "html"), column(batch, "content").to_pylist(), column(batch, "plain").to_pylist()):
-            key = (tuple(content or ()), tuple(plain or ()))
+        for page, *slots in zip(strings(batch, "html"), *(column(batch, c).to_pylist() for c in ("content", "plain", "whole"))):
+            key = tuple(tuple(s or ()) for s in slots)
             if key not in sets:
-                sets[key] = (set(key[0]), set(key[1]))
-            inside, outside = sets[key]
-            texts.append(text_of(page, inside) or text_of(page, outside - inside))
+                sets[key] = tuple(map(set, key))
+            inside, outside, whole = sets[key]
+            texts.append(text_of(page, inside) or text_of(page, outside - inside) or text_of(page, whole - inside))
         return pa.RecordBatch.from_arrays(
             [column(batch, "page_id"), column(batch, "url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
         )
 
-    return joined.select("page_id", "url", "html", "content", "plain").mapInArrow(per_batch(run), "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "content", "plain", "whole").mapInArrow(per_batch(run), "page_id long, url string, text string, n_chars long")

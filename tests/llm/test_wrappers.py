@@ -55,6 +55,17 @@ def test_no_article_element(spark):
     assert got[2][1] == "T2 a2" and got[12][1] == "a2 b c2"
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    one = "<html><body><div class='navbar'>Menu</div><h1>T</h1><p>a</p><table><tr><td>cell</td></tr></table><div id='footer'>{0}</div></body></html>"
+    other = "<html><body><div>Welcome</div><p>p{0}</p></body></html>"
+    data = [(k, f"http://a.org/x?page={k}", one.format(0)) for k in range(4)] + [(10 + k, None, one.format(k)) for k in range(3)]
+    data += [(20 + k, f"http://b.org/?ref={k}", one.format(k)) for k in range(3)] + [(30 + k, f"http://b.org/{k}", other.format(k)) for k in range(3)]
+    data += [(40, "http://b.org/w", "<html><body><div>Welcome</div></body></html>")]
+    got = {k: t for k, (_, t, _) in texts(spark, data).items()}
+    assert {got[k] for k in (*range(4), 10, 11, 12, 20, 21, 22)} == {"T a cell"}
+    assert [got[30 + k] for k in range(3)] == ["p0", "p1", "p2"] and got[40] == "Welcome"
+
+
 def test_repeated_rows_empty_table_and_clashing_columns(spark):
     from pyspark.sql import functions as F
 
