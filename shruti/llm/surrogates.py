@@ -53,6 +53,8 @@ PATTERNS = [
     ("phone", re.compile(r"(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+(?!1\b)\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w.+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])", re.ASCII), ""),
     ("name", re.compile(rf"\b(?:(?P<title>{'|'.join(t for ts in TITLES.values() for t in ts)})\.?[ ]+(?P<titled>{_CAP}(?:[ ]{_CAP})?)|(?P<first>{'|'.join(GENDER_OF_NAME)})[ ](?P<last>{_CAP}))\b"), ""),
 ]
+#: The country code (one or two digits for those assigned, else three) with a trunk zero in brackets; what follows is the national number.
+COUNTRY = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}|\d{1,2}(?=[ .(-]))(?:[ .-]?\(0\))?", re.ASCII)
 ANY_NUMBER = re.compile(r"\d[\d ().-]{5,}\d|\d\.\d+\.\d", re.ASCII)
 ANY_NAME = re.compile(rf"\b(?:{'|'.join([*GENDER_OF_TITLE, *GENDER_OF_NAME])})\b")
 
@@ -152,7 +154,7 @@ class Surrogates:
         return "".join(out)
 
     def phone(self, text: str) -> str:
-        code = re.match(r"\+(\d{1,3})(?=[ .(-])", text)
+        code = COUNTRY.match(text)
         return text[: code.end()] + self.numbers("phone", text[code.end() :]) if code else self.numbers("phone", text)
 
     def ip(self, text: str) -> str:
@@ -201,10 +203,10 @@ class Surrogates:
             new = [s for m in pattern.finditer(rest) if _valid(kind, m[0]) for s in (_name_parts(m) if kind == "name" else [(*m.span(), kind)])]
             found += new
             rest = _blanked(rest, new)
-        last_names = {text[a:b] for a, b, k in found if k == "last"}
-        if last_names:  # later mentions without first name or title
-            either = "|".join(sorted(map(re.escape, last_names), key=len, reverse=True))
-            found += [(*m.span(), "last") for m in re.finditer(rf"\b(?:{either})\b", rest)]
+        known = {text[a:b]: k for want in ("first", "last") for a, b, k in found if k == want}
+        if known:  # other mentions, of the first or the last name alone
+            either = "|".join(sorted(map(re.escape, known), key=len, reverse=True))
+            found += [(*m.span(), known[m[0]]) for m in re.finditer(rf"\b(?:{either})\b", rest)]
         return sorted(found)
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]], list[tuple[str, str, str]]]:
@@ -238,7 +240,7 @@ def canonical(kind: str, text: str) -> str:
     if kind == "email":
         return text.lower()
     if kind == "phone":
-        return re.sub(r"\D", "", re.sub(r"^\+\d{1,3}(?=[ .(-])", "", text))
+        return re.sub(r"\D", "", COUNTRY.sub("", text, count=1))
     return text if kind in ("first", "last", "ip") else re.sub(r"[ -]", "", text)
 
 

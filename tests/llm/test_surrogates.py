@@ -64,6 +64,18 @@ def test_coreference():
     assert s.Surrogates(b"other key").of("email", "bob.fry@mail.org") != z.of("email", "bob.fry@mail.org")
 
 
+def test_first_names_alone_and_phones_however_written():
+    z = s.Surrogates(KEY)
+    new, spans, _ = z.replace("John Miller met us. John left; Johnson and Mary stayed. Miller, John")
+    m = re.fullmatch(r"(\w+) (\w+) met us\. (\w+) left; Johnson and Mary stayed\. (\w+), (\w+)", new)
+    assert m[1] == m[3] == m[5] != "John" and m[2] == m[4] != "Miller" and len(spans) == 5
+    for code, ways in {"1": ["+15551234567", "+1 555 123 4567", "+1 (555) 123-4567", "+1-555-123-4567", "555-123-4567"], "44": ["+442079460958", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+4420 7946 0958"]}.items():
+        images = [z.replace(f"call {w} now")[0][5:-4] for w in ways]
+        assert len({s.canonical("phone", i) for i in images}) == 1, images
+        assert len({s.canonical("phone", w) for w in ways}) == 1 and set(images).isdisjoint(ways)
+        assert all(i.startswith("+" + code) for i, w in zip(images, ways) if w[0] == "+")
+
+
 def test_script_and_gender():
     new, spans, _ = s.Surrogates(KEY).replace("Госпожа Иванова и Анна Петрова")
     assert len(spans) == 3 and all(0x400 <= ord(c) < 0x500 or c == " " for c in new)
