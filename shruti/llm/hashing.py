@@ -49,9 +49,10 @@ def words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
 def shingles(hashes: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
     """Of each text the sorted distinct hashes of its ``k``-word shingles; of a text of fewer words (not none), one of all."""
     n = len(hashes)
-    grams = np.zeros(max(0, n - k + 1), np.uint64)
+    m = max(0, n - k + 1)
+    grams = np.zeros(m, np.uint64)
     for i in range(k):
-        grams += mix(hashes[i : n - k + 1 + i] + ODD[7]) * ODD[i]
+        grams += mix(hashes[i : m + i] + ODD[7]) * ODD[i]
     grams = mix(grams)
     out = []
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):

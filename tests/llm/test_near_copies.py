@@ -111,6 +111,19 @@ def test_keep_one(spark):
     assert len(got) == len(with_words) + len(rest)
 
 
+@pytest.mark.parametrize("n", range(1, 7))
+def test_few_words_alone_in_a_chunk(n):
+    text = b" ".join([b"a", b"b", b"c", b"d", b"e", b"f"][:n])
+    (alone,) = nc.shingles(*nc.words([text], True), 5)
+    beside, _ = nc.shingles(*nc.words([text, b"x " * 20], True), 5)
+    assert alone.tolist() == beside.tolist() and len(alone) == max(1, n - 4)
+
+
+def test_keep_one_of_three_words(spark):
+    df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    assert plain(nc.keep_one(df, 5, 80), "doc_id", "text") == [(1, "a b c")]
+
+
 def test_empty_table(spark):
     df, _ = documents(spark)
     assert nc.digest(df.limit(0)).count() == 0 and nc.keep_one(df.limit(0), 5, 80).count() == 0
