@@ -111,7 +111,7 @@ class Matcher:
         gaps = np.flatnonzero(raw == GAP[0])
         first = np.concatenate([[0], word_at[gaps] + 1])
         until = np.append(word_at[gaps], word_at[-1])
-        out = [(int(n), [], set()) for n in until - first] if len(text) > 2 or len(texts) == 1 else [(0, [], set()) for _ in texts]
+        out = [(int(n), [], set()) for n in until - first] if len(text) > 2 else [(0, [], set()) for _ in texts]
         for tables, sizes, owners in self.parts:
             starts, found = tables.find(text)
             if not starts:

@@ -61,6 +61,14 @@ def test_empty_tables(spark):
     assert d.digest(df.limit(0), none).count() == 0
 
 
+@pytest.mark.parametrize("text", [None, "", " ", "?! ."])
+def test_text_without_words_alone(spark, text):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([("a", "one two")], "item_id string, text string")
+    row = d.digest(docs, items).first()
+    assert (row.n_words, row.n_hit, row.contaminated) == (0, 0, False)
+
+
 def test_wu_manber_finds_all_occurrences():
     r = random.Random(6)
     for _ in range(60):
