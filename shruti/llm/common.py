@@ -30,9 +30,11 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or a local one where it is unset and the executors are threads of this process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -79,6 +81,37 @@ def text_key(text: str = "text", prefix: str = "_") -> list:
     return [F.xxhash64(c, F.lit(1)).alias(f"{prefix}ta"), F.xxhash64(F.lit(2), c).alias(f"{prefix}tb")]
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+#: Words of 64 bits in the filter of ``met``: what is broadcast is 8 MB of numbers at most, at any size.
+FILTER_WORDS = 1 << 19
+
+
+def met(rows: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose hash ``key`` may be in ``wanted``, the other rows), so that only the former are shuffled to meet it.
+
+    A table of bits is broadcast, of bounded size; with more keys than bits it
+    lets more rows through, and nothing else changes.
+    """
+    word, bit, mask = fresh(rows, "_word", "_bit", "_mask")
+    where = lambda c: F.pmod(F.shiftrightunsigned(c, 6), F.lit(FILTER_WORDS))
+    flag = lambda c: F.expr(f"shiftleft(1L, cast(`{c}` & 63 as int))")
+    bits = wanted.select(where(key).alias(word), flag(key).alias(bit)).groupBy(word).agg(F.bit_or(bit).alias(mask))
+    marked = rows.withColumn(word, where(key)).join(F.broadcast(stored(bits, "filter")), word, "left")
+    found = F.coalesce(F.col(mask).bitwiseAND(flag(key)) != 0, F.lit(False))
+    return tuple(marked.where(x).drop(word, mask) for x in (found, ~found))
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function from one on single batches."""
 

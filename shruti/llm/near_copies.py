@@ -5,16 +5,20 @@ sets. Light sets (few shingles) enumerate their subsets of each fixed size that
 similar set can share with them: two sets are similar exactly if they share such
 a subset and miss few enough elements beside it, so the sets of one subset form
 a star around the one that misses least, and nothing is compared. Heavy sets are
-found through inverted lists of their rarest shingles; the lists are scanned, and
-a pair is compared only if sizes, positions and count vectors allow it. The
-boundary is the one with the lowest estimated cost over the histogram of sizes.
-
-A long list is scanned in two rounds. First each set is compared with the list's
-few leaders. Sets that are one component by then need no more; all pairs of
-different components are compared in the second round, in blocks of bounded
-size. So a group of near copies costs about its size, and no link between
-different components is lost. ``linked`` compares all pairs of sets within each
-class, in blocks, and so gives every document its whole number of links.
+found through inverted lists of their rarest shingles. The boundary is the one
+with the lowest estimated cost over the histogram of sizes.
+
+A scan of the lists finds candidates: pairs that sizes, positions in the list and
+count vectors allow. A short list gives its pairs; a long one a forest, which
+joins the same sets with fewer pairs than the list has entries. Lists of frequent
+shingles are cut into blocks by their counted frequency before they are dealt
+out; sets of one list that lie in different blocks and are not yet joined are
+compared after that. So similar sets are always in one candidate group, and each
+set goes once to its group, where the sets' elements are compared and the similar
+pairs that join two classes come out: again fewer than sets. All steps give rows
+in proportion to what they read, and no link between classes is lost. ``linked``
+compares all pairs of sets within each class, in blocks, and so gives every
+document its whole number of links.
 
 Copies of a set are collapsed by a 64-bit sum of mixed shingle hashes. Nothing
 but histograms of bounded size reaches the driver.
@@ -27,16 +31,15 @@ are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, column, per_batch, scratch, stored, text_key, utf8
+from .common import chunks, column, fresh, met, per_batch, scratch, stored, text_key, utf8
 from .components import components
 from .hashing import ODD, U, mix, shingles, words
 
@@ -45,17 +48,17 @@ CHUNK = 2 << 20
 BUCKETS = 256
 #: Bits of the table of frequent shingles; per task, only buckets far above the mean are reported.
 HOT_BITS = 20
-LEADERS = 8
-BLOCK = 2048
+#: Lists of so many entries at most give their pairs, longer ones a forest; entries of one block of a list.
+SHORT = 8
+BLOCK = 4096
 #: The boundary is one of these sizes; enumerating a subset costs 1, scanning an entry of an inverted list this much.
 BOUNDARIES = (9, 19, 29, 39)
 ENTRY_COST = 6.0
-BROADCAST_ROWS = 1_000_000
-#: Pairs with one set that are compared in one task.
-GROUP = 1000
-#: Sets of one class, and elements of them, that one side of a block of pairs holds.
+#: Sets of one class or group, and elements of them, that one side of a block of pairs holds: for counting links, and for joining classes.
 CLASS_SETS = 1024
 CLASS_ELEMENTS = 1 << 20
+GROUP_SETS = 4096
+GROUP_ELEMENTS = 1 << 21
 
 
 def sets_of(texts: list[bytes], width: int):
@@ -70,8 +73,8 @@ def set_id(s: np.ndarray) -> int:
 
 
 def vector(s: np.ndarray) -> bytes:
-    """Counts of elements by bucket up to 15, two to a byte."""
-    counts = np.minimum(np.bincount((s >> U(40)) & U(BUCKETS - 1), minlength=BUCKETS), 15).astype(np.uint8)
+    """Counts of elements by bucket modulo 16, two to a byte."""
+    counts = (np.bincount((s >> U(40)) & U(BUCKETS - 1), minlength=BUCKETS) & 15).astype(np.uint8)
     return (counts[::2] | counts[1::2] << 4).tobytes()
 
 
@@ -81,7 +84,9 @@ def vectors(column: list[bytes]) -> np.ndarray:
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.abs(x - y).sum(1, dtype=np.int64)
+    """At most the sizes of the symmetric differences: numbers are at least as far apart as their remainders are on the circle."""
+    apart = np.abs(x - y)
+    return np.minimum(apart, 16 - apart).sum(1, dtype=np.int64)
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -129,22 +134,35 @@ def boundary(histogram: dict[int, int], total_heavy: float, percent: int) -> int
     return min(BOUNDARIES, key=lambda x: (cost(x), x))
 
 
+LISTS = "kind byte, key long, block int, sid long, n int, at int"
+NAMES = [f.split()[0] for f in LISTS.split(", ")]
+
+
+def blocks_of(hot: dict[int, int]) -> np.ndarray:
+    """By bucket, the number of blocks of its shingles' lists."""
+    out = np.ones(1 << HOT_BITS, np.int32)
+    for bucket, count in hot.items():
+        out[bucket] = -(-count // BLOCK)
+    return out
+
+
 def postings(rows: DataFrame, width: int, percent: int, light: int, hot: dict[int, int]) -> DataFrame:
-    """Entries of inverted lists (kind 0: token, sid, n, position) and subsets of light sets (kind 1: hash, sid, size of the subset, elements missed).
+    """Entries of inverted lists (kind 0: token, block, sid, n, position) and subsets of light sets (kind 1: hash, 0, sid, size of the subset, elements missed).
 
     A set's entries are given once per task, however many copies it has.
     """
     rank = np.zeros(1 << HOT_BITS, np.uint16)
     for bucket, count in hot.items():
         rank[bucket] = min(count, (1 << 16) - 1)
+    blocks = blocks_of(hot)
 
     def run(batches):
         given: set[int] = set()
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[], [], [], [], []]
+            parts: list[list[np.ndarray]] = [[] for _ in NAMES]
 
-            def add(kind: int, key: np.ndarray, sid: int, n, at) -> None:
-                for c, v in zip(parts, (np.full(len(key), kind, np.int8), key.view(np.int64), np.full(len(key), sid, np.int64), np.broadcast_to(np.int32(n), len(key)), np.asarray(at, np.int32))):
+            def add(kind: int, key: np.ndarray, block: np.ndarray, sid: int, n, at) -> None:
+                for c, v in zip(parts, (np.full(len(key), kind, np.int8), key.view(np.int64), block.astype(np.int32), np.full(len(key), sid, np.int64), np.broadcast_to(np.int32(n), len(key)), np.asarray(at, np.int32))):
                     c.append(v)
 
             for _, _, sets in sets_of(utf8(batch), width):
@@ -159,22 +177,87 @@ def postings(rows: DataFrame, width: int, percent: int, light: int, hot: dict[in
                             mixed = mix(s + ODD[4])
                             out = np.array(list(combinations(range(n), missed)), np.int64).reshape(comb(n, missed), missed)
                             keys = mixed.sum(keepdims=True, dtype=np.uint64) - mixed[out].sum(1, dtype=np.uint64)
-                            add(1, mix(keys * ODD[5] + U(n - missed)), sid, n - missed, np.full(len(keys), missed))
+                            add(1, mix(keys * ODD[5] + U(n - missed)), np.zeros(len(keys)), sid, n - missed, np.full(len(keys), missed))
                     if 100 * n > percent * light:
                         order = np.argsort(rank[(s >> U(64 - HOT_BITS)).astype(np.int64)].astype(np.uint64) << U(48) | (s & U((1 << 48) - 1)), kind="stable")
                         p = n - least_overlap(n, percent) + 1
-                        add(0, s[order[:p]], sid, n, np.arange(p))
+                        block = (sid & 0x7FFFFFFF) % blocks[(s[order[:p]] >> U(64 - HOT_BITS)).astype(np.int64)]
+                        add(0, s[order[:p]], block, sid, n, np.arange(p))
             if parts[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in parts], names=["kind", "key", "sid", "n", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in parts], names=NAMES)
 
-    return rows.select("text").mapInArrow(run, "kind byte, key long, sid long, n int, at int")
+    return rows.select("text").mapInArrow(run, LISTS)
 
 
 def may_match(n, m, i, j, percent: int):
-    """Columns: sets of ``n`` and ``m`` elements that share those at positions ``i`` and ``j`` can be similar."""
-    enough = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    most = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
-    return enough & (most * (100 + percent) >= (n + m) * percent)
+    """Sets of ``n`` and ``m`` elements whose first common shingle is at positions ``i`` and ``j`` can be similar."""
+    return np.minimum(n - i, m - j) * (100 + percent) >= (n + m) * percent
+
+
+def scan_lists(given: DataFrame, percent: int, blocks: np.ndarray) -> DataFrame:
+    """What the lists leave, as ``LISTS``: entries of subsets that several sets share (kind 1), pairs of short lists (kind 2; key and sid: the sets) and entries of long lists (kind 0).
+
+    A task holds no more of a list than makes it a long one.
+    """
+
+    def run(batches):
+        held = [np.zeros(0, t) for t in (np.int8, np.int64, np.int32, np.int64, np.int32, np.int32)]
+        last = out_id = None  # the last row; the list whose first entries have gone out
+        for batch in batches:
+            rows = [column(batch, c).to_numpy() for c in NAMES]
+            if not len(rows[0]):
+                continue
+            again = np.ones(len(rows[0]), bool)  # tasks may each have given a set's entries
+            for c in rows[:4]:
+                again[1:] &= c[1:] == c[:-1]
+            again[0] = last == tuple(c[0] for c in rows[:4])
+            last = tuple(c[-1] for c in rows[:4])
+            rows = [np.concatenate([h, c[~again]]) for h, c in zip(held, rows)]
+            if len(rows[0]):
+                found, held, out_id = _lists(rows, out_id, percent, blocks, False)
+                yield from found
+        if len(held[0]):
+            yield from _lists(held, out_id, percent, blocks, True)[0]
+
+    return given.repartition("kind", "key", "block").sortWithinPartitions("kind", "key", "block", "sid").mapInArrow(run, LISTS)
+
+
+def _lists(rows: list[np.ndarray], out_id, percent: int, blocks: np.ndarray, ended: bool):
+    """(batches, rows to hold, list that goes out as it comes) of sorted rows; only the last list may go on, and the first may have gone out in part."""
+    kind, key, block, sid, n, at = rows
+    new = np.flatnonzero(np.concatenate([[True], (kind[1:] != kind[:-1]) | (key[1:] != key[:-1]) | (block[1:] != block[:-1])]))
+    size = np.diff(np.append(new, len(key)))
+    cut = blocks[(key[new].view(np.uint64) >> U(64 - HOT_BITS)).astype(np.int64)] > 1
+    out = np.where(kind[new] == 1, size > 1, (size > SHORT) | cut)
+    if out_id == (kind[0], key[0], block[0]):
+        out[0] = True
+    pairs = ~out & (size > 1)
+    hold = slice(len(key), None)
+    goes_on = None
+    if not ended:
+        if out[-1]:
+            goes_on = (kind[-1], key[-1], block[-1])
+        else:
+            pairs[-1], hold = False, slice(new[-1], None)
+    found = []
+    if out.any():
+        whole = np.repeat(out, size)
+        found.append(pa.RecordBatch.from_arrays([pa.array(c[whole]) for c in rows], names=NAMES))
+    if pairs.any():
+        group = np.repeat(np.arange(len(new)), size)
+        x = np.flatnonzero(np.repeat(pairs, size))
+        a, b = [], []
+        for d in range(1, SHORT):
+            x = x[x + d < len(key)]
+            x = x[group[x] == group[x + d]]
+            y = x + d
+            p = may_match(n[x], n[y], at[x], at[y], percent)
+            a.append(np.maximum(sid[x[p]], sid[y[p]]))
+            b.append(np.minimum(sid[x[p]], sid[y[p]]))
+        both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+        zero = np.zeros(len(both), np.int32)
+        found.append(pa.RecordBatch.from_arrays([pa.array(c) for c in (np.full(len(both), 2, np.int8), both[:, 0].copy(), zero, both[:, 1].copy(), zero, zero)], names=NAMES))
+    return found, [c[hold] for c in rows], goes_on
 
 
 def vector_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -195,149 +278,176 @@ def may_differ(distance: np.ndarray, total: np.ndarray, percent: int) -> np.ndar
     return distance * (100 + percent) <= total * (100 - percent)
 
 
-def similar_sets(s: bytes, t: bytes, percent: int) -> bool:
-    """By the sets' elements."""
-    x, y = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (len(x) + len(y) - both)
-
-
-def wide_vector(s: np.ndarray) -> bytes:
-    """The size, and counts in as many buckets as there are elements or more: an eighth of the set's bytes, with hardly any two elements in one."""
-    width = 1 << max(8, (len(s) - 1).bit_length())
-    return len(s).to_bytes(8, "little") + np.minimum(np.bincount((s >> U(20)) & U(width - 1), minlength=width), 255).astype(np.uint8).tobytes()
+def forest_of_lists(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that join the sets of each list, or part of one, that sizes, positions and vectors allow to be similar.
 
+    entries: key, i, j (which part), sid, n, at, component, vec; sets of one component are joined already.
+    """
 
-def may_be_similar(s: bytes, t: bytes, percent: int) -> bool:
-    """By wide vectors; the wider one is folded."""
-    x, y = (np.frombuffer(v, np.uint8, offset=8).astype(np.int32) for v in sorted((s, t), key=len))
-    y = y.reshape(-1, len(x)).sum(0)
-    total = int.from_bytes(s[:8], "little") + int.from_bytes(t[:8], "little")
-    # a count of 255 may stand for more, so nothing is known of its bucket
-    distance = np.abs(x - y)[(x < 255) & (y < 255)].sum()
-    return bool(may_differ(distance, total, percent))
-
-
-def compared(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int, what: Callable[[np.ndarray], bytes], test: Callable[[bytes, bytes, int], bool]) -> DataFrame:
-    """The pairs (a, b) of set ids that pass a test on what is made of their sets; these are made anew from one document each.
-
-    pairs: stored; reps: sid, doc_id, ta. Of each pair, what is of ``a`` goes to
-    ``b``; a ``b`` of very many pairs is copied to several tasks.
+    def run(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            if not table.num_rows:
+                continue
+            marks = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
+            new = np.flatnonzero(np.concatenate([[True], (marks[:, 1:] != marks[:, :-1]).any(0)]))
+            rest = table.slice(new[-1]).combine_chunks()
+            yield _forests(table, new, percent)
+        if rest is not None and rest.num_rows:
+            yield _forests(rest, np.array([0, rest.num_rows]), percent)
+
+    dealt = entries.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "sid")
+    return dealt.select("key", "i", "j", "sid", "n", "at", "component", "vec").mapInArrow(run, "a long, b long")
+
+
+def _forests(table: pa.Table, new: np.ndarray, percent: int) -> pa.RecordBatch:
+    """Of the lists that begin at ``new``, but for the last."""
+    sid, n, at, component = (table.column(c).to_numpy().astype(np.int64) for c in ("sid", "n", "at", "component"))
+    vec = table.column("vec")
+    found = [_forest(*(c[a:b] for c in (sid, n, at, component)), vec.slice(a, b - a), percent) for a, b in zip(new[:-1].tolist(), new[1:].tolist())]
+    found = np.concatenate([np.zeros((0, 2), np.int64), *(f for f in found if len(f))])
+    found = np.unique(np.stack([found.max(1), found.min(1)], 1), axis=0) if len(found) else found
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
+
+
+def _forest(sid: np.ndarray, n: np.ndarray, at: np.ndarray, component: np.ndarray, vec: pa.ChunkedArray, percent: int) -> np.ndarray:
+    label = np.unique(component, return_inverse=True)[1]
+    left = int(label.max()) + 1
+    if left < 2:
+        return np.zeros((0, 2), np.int64)
+    vec = vectors(vec.to_pylist())
+    until = np.searchsorted(n, 100 * n // percent, "right")  # larger ones can't be similar
+    out = []
+    for x in range(len(n) - 1):
+        y = x + 1 + np.flatnonzero(label[x + 1 : until[x]] != label[x])
+        y = y[may_match(n[x], n[y], at[x], at[y], percent)]
+        if len(y):
+            y = y[may_differ(distances(vec[x : x + 1], vec[y]), n[x] + n[y], percent)]
+        if len(y):
+            labels, first = np.unique(label[y], return_index=True)
+            out.append(np.stack([np.full(len(first), sid[x]), sid[y[first]]], 1))
+            label[np.isin(label, labels)] = label[x]
+            left -= len(labels)
+            if left == 1:
+                break
+    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+
+def across_blocks(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """Parts of the lists that have several components in several blocks, as ``forest_of_lists`` takes them.
+
+    A list's largest component is not compared with itself: its entries stay
+    in their block, and the others come to every block.
     """
-    sizes = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"))
-    firsts = pairs.join(sizes, "b").select(F.col("a").alias("sid"), "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), "a")
-    seconds = sizes.select(F.col("b").alias("sid"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("a"))
-    asked = firsts.unionByName(seconds).groupBy("sid").agg(F.collect_list(F.struct("b", "part", "a")).alias("asked"))
-    wanted = stored(reps.join(asked, "sid").select("doc_id", "ta", "sid", "asked"), "wanted")
-    if (wanted.agg(F.sum(F.size("asked"))).first()[0] or 0) <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    entries = entries.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    sizes = entries.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.min("block").alias("lo"), F.max("block").alias("hi"))
+    lists = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    number = lambda c: F.ceil(c / BLOCK).cast("int")
+    lists = lists.where((F.col("most.c") < F.col("k")) & (F.col("lo") < F.col("hi"))).select("key", F.col("most.component").alias("most"), number(F.col("k")).alias("blocks"), number(F.col("k") - F.col("most.c")).alias("others"))
+    entries = entries.join(lists, "key").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).withColumn("other", F.pmod(F.xxhash64("sid"), F.col("others")).cast("int"))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    place = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    stay = F.transform(upto("others"), lambda j: place(F.col("own"), j))
+    come = F.concat(F.transform(upto("blocks"), lambda i: place(i, F.col("other"))), F.transform(upto("others"), lambda j: place(-1 - F.least(j, F.col("other")), F.greatest(j, F.col("other")))))
+    return entries.withColumn("to", F.explode(F.when(F.col("component") == F.col("most"), stay).otherwise(come))).select("key", "to.i", "to.j", "sid", "n", "at", "component")
+
+
+def dealt_sets(rows: DataFrame, wanted: DataFrame, width: int, most_sets: int, most_elements: int) -> DataFrame:
+    """The sets (made: their elements) of the classes in ``wanted``, dealt out in pairs of blocks of their class and sorted by size.
+
+    wanted: sid, doc_id and ta of one row that has the set, n, copies, component; rows: doc_id, ta, text.
+    """
+    sizes = wanted.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / most_sets), F.ceil(F.sum(F.col("n").cast("long")) / most_elements)).cast("int").alias("blocks"))
+    wanted = stored(wanted.join(sizes, "component").select("doc_id", "ta", "sid", "copies", "component", "blocks"), "class-sets")
+    names, kinds = ["component", "blocks", "sid", "copies", "n", "made"], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 
     def send(batches):
         given: set[int] = set()  # repeated rows give their sets once per task
         for batch in batches:
-            texts, sids, lists = utf8(batch), column(batch, "sid").to_pylist(), column(batch, "asked").to_pylist()
-            for first, until, sets in sets_of(texts, width):
-                rows = []
-                for sid, s, asks in zip(sids[first:until], sets, lists[first:until]):
-                    if sid not in given:
-                        given.add(sid)
-                        made = what(s)
-                        rows += [(x["b"], x["part"], x["a"], made) for x in asks]
-                for k, m in chunks([len(r[3]) for r in rows], 4 * CHUNK):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:m]), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["b", "part", "a", "made"])
-
-    def compare(batches):
-        at, of_b = None, b""
-        for batch in batches:
-            found = []
-            for b, part, a, made in zip(*(column(batch, c).to_pylist() for c in ("b", "part", "a", "made"))):
-                if a is None:
-                    at, of_b = (b, part), made
-                elif at == (b, part) and test(made, of_b, percent):
-                    found.append((a, b))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
-
-    sent = docs.join(wanted, ["doc_id", "ta"]).select("sid", "asked", "text").mapInArrow(send, "b long, part int, a long, made binary")
-    return sent.repartition("b", "part").sortWithinPartitions("b", "part", "a").mapInArrow(compare, "a long, b long")
+            fixed = [column(batch, c).to_pylist() for c in names[:4]]
+            for first, until, sets in sets_of(utf8(batch), width):
+                made = []
+                for k, s in zip(range(first, until), sets):
+                    if fixed[2][k] not in given:
+                        given.add(fixed[2][k])
+                        made.append((*(c[k] for c in fixed), len(s), s.tobytes()))
+                for k, m in chunks([len(r[5]) for r in made], 4 * CHUNK):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made[k:m]), kinds)], names=names)
 
+    texts, _ = met(rows, wanted, "ta")
+    sent = texts.join(wanted, ["doc_id", "ta"]).select(*names[:4], "text").mapInArrow(send, "component long, blocks int, sid long, copies long, n int, made binary")
+    sent = sent.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "sid", "copies", "made")
+    return sent.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "n", "sid")
 
-def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components of the same list, but for those with a leader, that sizes, positions and vectors allow.
 
-    lists: key, sid, n, at, rank, component, vec. A list is cut into blocks by hash; a task holds two blocks at a time.
-    """
-    sizes = lists.groupBy("key").agg(F.count(F.lit(1)).alias("_k"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-    sizes = sizes.where((F.col("_lo") < F.col("_hi")) & (F.col("_k") > LEADERS + 1)).select("key", F.ceil(F.col("_k") / BLOCK).cast("int").alias("_blocks"))
-    blocks = lists.join(sizes, "key").withColumn("_own", F.pmod(F.xxhash64("sid"), F.col("_blocks")).cast("int"))
-    copies = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    copies = copies.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "sid", "n", "at", "rank", "component", "vec")
+def dealt_groups(batches):
+    """The groups that ``dealt_sets`` deals out: whether pairs are across two blocks only, and own, sid, copies and elements of each set by rising size."""
+    at, group = (0, 0, 0), []
+    for batch in batches:
+        for c, i, j, *entry in zip(*(column(batch, c).to_pylist() for c in ("component", "i", "j", "own", "sid", "copies", "made"))):
+            if (c, i, j) != at:
+                yield at[1] != at[2], group
+                at, group = (c, i, j), []
+            if not group or group[-1][1] != entry[1]:  # tasks may each have given the set of a repeated row
+                group.append(entry)
+    yield at[1] != at[2], group
 
-    dealt = copies.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "sid")
-    return dealt.mapInArrow(lambda batches: _scan_lists(batches, percent, LEADERS), "a long, b long").distinct()
 
+def joining_pairs(rows: DataFrame, wanted: DataFrame, width: int, percent: int) -> DataFrame:
+    """Similar pairs (a, b) that join the classes in each group of ``wanted``."""
 
-def _scan_lists(batches, percent: int, leaders: int):
-    """Candidate pairs of sorted list entries, list by list; a list that a batch ends in is carried over, which is two blocks at most."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-        if not table.num_rows:
-            continue
-        marks = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
-        last = int(np.flatnonzero((marks != marks[:, -1:]).any(0))[-1]) + 1 if (marks != marks[:, -1:]).any() else 0
-        rest = table.slice(last).combine_chunks()
-        if last:
-            yield from _list_pairs(table.slice(0, last), percent, leaders)
-    if rest is not None:
-        yield from _list_pairs(rest, percent, leaders)
-
-
-def _list_pairs(table: pa.Table, percent: int, leaders: int):
-    key, i, j, own, sid, n, at, rank, comp = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j", "_own", "sid", "n", "at", "rank", "component"))
-    vec = vectors(table.column("vec").to_pylist())
-    x = np.arange(len(key))
-    for d in range(1, len(key)):  # entries d apart; those that are too far apart for one list or in size have no partner further on either
-        x = x[x + d < len(key)]
-        y = x + d
-        near = (key[x] == key[y]) & (i[x] == i[y]) & (j[x] == j[y]) & (100 * n[x] >= percent * n[y])
-        x, y = x[near], y[near]
-        if not len(x):
-            return
-        most = np.minimum(at[x], at[y]) + np.minimum(n[x] - at[x], n[y] - at[y])
-        ok = (comp[x] != comp[y]) & ((own[x] != own[y]) | (i[x] == j[x])) & (np.minimum(rank[x], rank[y]) > leaders) & (most * (100 + percent) >= (n[x] + n[y]) * percent)
-        p, q = x[ok], y[ok]
-        for a in range(0, len(p), 8192):
-            u, v = p[a : a + 8192], q[a : a + 8192]
-            keep = may_differ(distances(vec[u], vec[v]), n[u] + n[v], percent)
-            if keep.any():
-                u, v = sid[u[keep]], sid[v[keep]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["a", "b"])
-
-
-def joined_by(pairs: DataFrame, edges: DataFrame | None, rows: DataFrame, reps: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(edges, classes) after the similar ones of ``pairs`` are added to the edges.
-
-    One pair of each set is verified first; after that only pairs that still lie
-    between different classes, so a group of n near copies needs about n comparisons.
-    """
-    spark = rows.sparkSession
-    with scratch(spark):
-        pairs = stored(pairs, "pairs", keep=True)
-    with scratch(spark):
-        first = stored(pairs.groupBy("a").agg(F.min("b").alias("b")), "pairs-first", keep=True)
-        found = compared(first, rows, reps, width, percent, np.ndarray.tobytes, similar_sets)
-        edges = stored(found if edges is None else edges.unionByName(found), "edges", keep=True)
-        classes = stored(components(edges), "classes", keep=True)
-    with scratch(spark):
-        of = lambda c: classes.select(F.col("node").alias(c), F.col("component").alias(f"class_{c}"))
-        left = pairs.join(first, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
-        left = stored(left.where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b"), "pairs-left")
-        if left.limit(1).count():
-            left = stored(compared(left, rows, reps, width, percent, wide_vector, may_be_similar), "pairs-near")
-            edges = stored(edges.unionByName(compared(left, rows, reps, width, percent, np.ndarray.tobytes, similar_sets)), "edges", keep=True)
-            classes = stored(components(edges), "classes", keep=True)
-    return edges, classes
+    def compare(batches):
+        for across, group in dealt_groups(batches):
+            if len(group) > 1:
+                found = _join_sets(group, across, percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    return dealt_sets(rows, wanted, width, GROUP_SETS, GROUP_ELEMENTS).mapInArrow(compare, "a long, b long")
+
+
+class _Sets:
+    """The sets of one group by rising size, their elements as numbers; ``shared`` compares one with some that follow."""
+
+    def __init__(self, group: list):
+        self.own, self.sid, self.copies = (np.array([g[k] for g in group]) for k in range(3))
+        sets = [np.frombuffer(g[3], np.uint64) for g in group]
+        self.n = np.array([len(s) for s in sets])
+        self.offsets = np.concatenate([[0], np.cumsum(self.n)])
+        distinct, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(distinct), np.uint8)
+
+    def similar(self, x: int, y: np.ndarray, percent: int) -> np.ndarray:
+        """Of ``y``, those that are similar to ``x``."""
+        mine = self.flat[self.offsets[x] : self.offsets[x + 1]]
+        self.mark[mine] = 1
+        n = self.n[y]
+        starts = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) + np.repeat(self.offsets[y] - starts, n)
+        both = np.add.reduceat(self.mark[self.flat[place]], starts, dtype=np.int64)
+        self.mark[mine] = 0
+        return y[100 * both >= percent * (self.n[x] + n - both)]
+
+
+def _join_sets(group: list, across: bool, percent: int) -> list[tuple[int, int]]:
+    """Similar pairs of one group, or of its two blocks, that make one component of two."""
+    sets = _Sets(group)
+    label = np.arange(len(group))
+    until = np.searchsorted(sets.n, 100 * sets.n // percent, "right")  # larger ones can't be similar
+    out = []
+    for x in range(len(group) - 1):
+        y = x + 1 + np.flatnonzero(label[x + 1 : until[x]] != label[x])
+        if across:
+            y = y[sets.own[y] != sets.own[x]]
+        if len(y):
+            y = sets.similar(x, y, percent)
+        if len(y):
+            labels, first = np.unique(label[y], return_index=True)
+            out += [(int(sets.sid[x]), int(sets.sid[k])) for k in y[first]]
+            label[np.isin(label, labels)] = label[x]
+    return out
 
 
 def similar(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
@@ -354,32 +464,29 @@ def similar(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFra
     counted = reps.groupBy(F.least("n", F.lit(top + 1)).alias("n")).agg(F.count(F.lit(1)).alias("c"), F.sum(entries).alias("e")).collect()
     light = boundary({r.n: r.c for r in counted if r.n <= top}, float(sum(r.e for r in counted if r.n > top)), percent)
 
-    given = postings(rows.where("doc_id is not null"), width, percent, light, hot)
-    # Entries that are alone in their list go at once; the others get their rank in it.
-    by_sid = Window.partitionBy("kind", "key").orderBy("sid")
-    given = given.repartition("kind", "key").dropDuplicates(["kind", "key", "sid"]).withColumn("rank", F.row_number().over(by_sid)).withColumn("_next", F.lead("sid").over(by_sid))
-    given = stored(given.where("rank > 1 or _next is not null").drop("_next"), "lists")
+    blocks = blocks_of(hot)
+    given = stored(scan_lists(postings(rows.where("doc_id is not null"), width, percent, light, hot), percent, blocks), "lists")
 
     # Light sets: a star around the one that misses least, for each subset.
     subset = given.where("kind = 1")
     star = subset.groupBy("key").agg(F.min(F.struct("at", "sid")).alias("l"))
     both = (F.col("at") + F.col("l.at")) * percent <= F.col("n") * (100 - percent)
-    light_edges = subset.join(star, "key").where(both & (F.col("sid") != F.col("l.sid"))).select(F.col("sid").alias("a"), F.col("l.sid").alias("b"))
-
-    # Heavy sets: each is compared with the leaders of its lists.
-    lists = given.where("kind = 0").select("key", "sid", "n", "at", "rank")
-    leaders = lists.where(F.col("rank") <= LEADERS).select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("at").alias("at_b"), F.col("rank").alias("rank_b"))
-    pairs = lists.join(leaders, "key").where(F.col("rank") > F.col("rank_b")).where(may_match(F.col("n"), F.col("m"), F.col("at"), F.col("at_b"), percent))
-    pairs = pairs.select(F.greatest("sid", "b").alias("a"), F.least("sid", "b").alias("b")).distinct()
-    edges, classes = joined_by(vector_filter(pairs, reps, percent), light_edges, rows, reps, width, percent)
-
-    labelled = lists.join(classes.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    long_lists = lists.where(F.col("rank") > LEADERS + 1).select("key").distinct()
-    more = cross_pairs(labelled.join(long_lists, "key", "left_semi").join(reps.select("sid", "vec"), "sid"), percent)
-    more = stored(more, "cross")
-    if more.limit(1).count():
-        _, classes = joined_by(more, edges, rows, reps, width, percent)
-    return members, classes
+    edges = subset.join(star, "key").where(both & (F.col("sid") != F.col("l.sid"))).select(F.col("sid").alias("a"), F.col("l.sid").alias("b"))
+
+    # Heavy sets: candidates from the lists, groups of them, and the similar pairs that join classes in each group.
+    near = vector_filter(given.where("kind = 2").select(F.col("key").alias("a"), F.col("sid").alias("b")).distinct(), reps, percent)
+    entries = given.where("kind = 0").select("key", "block", "sid", "n", "at")
+    vecs = reps.select("sid", "vec")
+    alone = entries.select("key", F.col("block").alias("i"), F.lit(0).alias("j"), "sid", "n", "at", F.col("sid").alias("component"))
+    pairs = stored(near.unionByName(forest_of_lists(alone.join(vecs, "sid"), percent)), "pairs")
+    groups = stored(components(pairs), "groups")
+    if blocks.max() > 1:
+        more = stored(forest_of_lists(across_blocks(entries, groups).join(vecs, "sid"), percent), "pairs-across")
+        if more.limit(1).count():
+            groups = stored(components(pairs.unionByName(more)), "groups")
+    wanted = reps.join(groups.select(F.col("node").alias("sid"), "component"), "sid").select("sid", "doc_id", "ta", "n", F.lit(1).cast("long").alias("copies"), "component")
+    edges = stored(joining_pairs(rows, wanted, width, percent).unionByName(edges), "edges")
+    return members, stored(components(edges), "classes", keep=True)
 
 
 def labelled(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -411,75 +518,33 @@ def links_of_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width
     elements. A large class is cut into blocks by hash; a task holds two at a time.
     """
     reps = members.where("n > 0 and doc_id is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "ta")).alias("r"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-    linked = reps.join(classes.select(F.col("node").alias("sid"), "component"), "sid")
-    sizes = linked.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CLASS_SETS), F.ceil(F.sum(F.col("n").cast("long")) / CLASS_ELEMENTS)).cast("int").alias("blocks"))
-    wanted = stored(linked.join(sizes, "component").select("r.doc_id", "r.ta", "sid", "copies", "component", "blocks"), "class-sets")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    names, kinds = ["component", "blocks", "sid", "copies", "n", "made"], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-
-    def send(batches):
-        given: set[int] = set()  # repeated rows give their sets once per task
-        for batch in batches:
-            fixed = [column(batch, c).to_pylist() for c in names[:4]]
-            for first, until, sets in sets_of(utf8(batch), width):
-                rows = []
-                for k, s in zip(range(first, until), sets):
-                    if fixed[2][k] not in given:
-                        given.add(fixed[2][k])
-                        rows.append((*(c[k] for c in fixed), len(s), s.tobytes()))
-                for k, m in chunks([len(r[5]) for r in rows], 4 * CHUNK):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:m]), kinds)], names=names)
+    wanted = reps.join(classes.select(F.col("node").alias("sid"), "component"), "sid").select("sid", "r.doc_id", "r.ta", "n", "copies", "component")
 
     def compare(batches):
-        at, group = (0, 0, 0), []
-        for batch in batches:
-            found = []
-            for c, i, j, *entry in zip(*(column(batch, c).to_pylist() for c in ("component", "i", "j", "own", "sid", "copies", "made"))):
-                if (c, i, j) != at:
-                    found.append(_count_links(group, at[1] != at[2], percent))
-                    at, group = (c, i, j), []
-                if not group or group[-1][1] != entry[1]:  # tasks may each have given the set of a repeated row
-                    group.append(entry)
-            yield from map(_counts, found)
-        yield _counts(_count_links(group, at[1] != at[2], percent))
-
-    sent = docs.join(wanted, ["doc_id", "ta"]).select(*names[:4], "text").mapInArrow(send, "component long, blocks int, sid long, copies long, n int, made binary")
-    sent = sent.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sent = sent.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "sid", "copies", "made")
-    dealt = sent.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "n", "sid")
-    return dealt.mapInArrow(compare, "sid long, links long").groupBy("sid").agg(F.sum("links").alias("links"))
-
+        for across, group in dealt_groups(batches):
+            found = _count_links(group, across, percent)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["sid", "links"])
 
-def _counts(found: dict[int, int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["sid", "links"])
+    return dealt_sets(docs, wanted, width, CLASS_SETS, CLASS_ELEMENTS).mapInArrow(compare, "sid long, links long").groupBy("sid").agg(F.sum("links").alias("links"))
 
 
 def _count_links(group: list, across: bool, percent: int) -> dict[int, int]:
-    """Rows linked to each set by the pairs of one group, or by those of different blocks; group: block, sid, copies and elements by rising size."""
+    """Rows linked to each set by the pairs of one group, or by those of different blocks."""
     if len(group) < 2:
         return {}
-    own, sid, copies = (np.array([g[k] for g in group]) for k in range(3))
-    sets = [np.frombuffer(g[3], np.uint64) for g in group]
-    n = np.array([len(s) for s in sets])
-    offsets = np.concatenate([[0], np.cumsum(n)])
-    distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(len(distinct), np.uint8)
+    sets = _Sets(group)
+    until = np.searchsorted(sets.n, 100 * sets.n // percent, "right")  # larger ones can't be similar
     links = np.zeros(len(group), np.int64)
     for x in range(len(group) - 1):
-        until = int(np.searchsorted(n, 100 * int(n[x]) // percent, "right"))  # larger ones can't be similar
-        if until <= x + 1:
-            continue
-        mine = flat[offsets[x] : offsets[x + 1]]
-        mark[mine] = 1
-        both = np.add.reduceat(mark[flat[offsets[x + 1] : offsets[until]]], offsets[x + 1 : until] - offsets[x + 1], dtype=np.int64)
-        mark[mine] = 0
-        like = 100 * both >= percent * (n[x] + n[x + 1 : until] - both)
+        y = np.arange(x + 1, until[x])
         if across:
-            like &= own[x + 1 : until] != own[x]
-        links[x] += copies[x + 1 : until][like].sum()
-        links[x + 1 : until][like] += copies[x]
-    return {int(s): int(c) for s, c in zip(sid, links) if c}
+            y = y[sets.own[y] != sets.own[x]]
+        if len(y):
+            y = sets.similar(x, y, percent)
+            links[x] += sets.copies[y].sum()
+            links[y] += sets.copies[x]
+    return {int(s): int(c) for s, c in zip(sets.sid, links) if c}
 
 
 def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -505,12 +570,12 @@ def keep_one(docs: DataFrame, width: int, percent: int) -> DataFrame:
     marked = labelled(docs, width, percent).where("doc_id is not null and n_shingles > 0")
     gone = marked.where("component_id <> doc_id or first_ta <> ta").select("doc_id", "ta").distinct()
     again = marked.where("component_id = doc_id and first_ta = ta").groupBy("doc_id", "ta").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "ta")
-    special = gone.withColumn("__again", F.lit(False)).unionByName(again.withColumn("__again", F.lit(True)))
-    special = stored(special.withColumnsRenamed({"doc_id": "__doc", "ta": "__ta"}), "special")
-    few = special.count() <= BROADCAST_ROWS
-    keyed = docs.withColumn("__doc", F.col("doc_id").cast("long")).withColumn("__ta", text_key()[0])
-    out = keyed.join(F.broadcast(special) if few else special, ["__doc", "__ta"], "left")
-    rest = out.where("__again is null").select(*[F.col(f"`{c}`") for c in docs.columns])
-    if not special.where("__again").limit(1).count():
-        return rest
-    return rest.unionByName(out.where("__again").dropDuplicates(["__doc", "__ta"]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    id_, ta, more = fresh(docs, "_doc", "_ta", "_again")
+    special = stored(gone.withColumn(more, F.lit(False)).unionByName(again.withColumn(more, F.lit(True))).withColumnsRenamed({"doc_id": id_, "ta": ta}), "special", keep=True)
+    maybe, never = met(docs.withColumn(id_, F.col("doc_id").cast("long")).withColumn(ta, text_key()[0]), special, ta)
+    found = maybe.join(special, [id_, ta], "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = never.select(*columns).unionByName(found.where(F.col(more).isNull()).select(*columns))
+    if special.where(more).limit(1).count():
+        out = out.unionByName(found.where(more).dropDuplicates([id_, ta]).select(*columns))
+    return out

@@ -63,14 +63,54 @@ def test_long_lists(spark, words, changes, percent):
     assert plain(nc.digest(df, 3, percent), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, percent), key=repr)
 
 
-def test_small_blocks_and_few_leaders(spark, monkeypatch):
-    monkeypatch.setattr(nc, "LEADERS", 1)
-    monkeypatch.setattr(nc, "BLOCK", 7)
-    rows = [(i, t) for i, t in enumerate(drift(9, 60, 80, 5))]
+@pytest.mark.parametrize("block", [3, 7, 40])
+@pytest.mark.parametrize("changes", [5, 12])
+def test_lists_of_several_blocks(spark, monkeypatch, block, changes):
+    monkeypatch.setattr(nc, "BLOCK", block)
+    rows = [(i, t) for i, t in enumerate(drift(9, 60, 80, changes))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert plain(nc.digest(df), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, 90), key=repr)
 
 
+def outliers(seed):
+    """Sets close to one another, in two halves of which only some pairs across are similar, and planted outliers of one half only."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    far = [*base[:100], *(f"u{i}" for i in range(20))]
+    out = [" ".join(w if k != j else f"x{j}" for k, w in enumerate(r.choice([base, far]))) for j in range(60)]
+    return out + [" ".join([*far[: 120 - d], *(f"y{d}{i}" for i in range(d))]) for d in (1, 2, 4, 6, 9, 12)]
+
+
+@pytest.mark.parametrize("sets,elements,block,percent", [(4096, 1 << 21, 4096, 90), (7, 1 << 21, 9, 90), (4096, 900, 20, 80)])
+def test_groups_of_several_blocks(spark, monkeypatch, sets, elements, block, percent):
+    for name, value in (("GROUP_SETS", sets), ("GROUP_ELEMENTS", elements), ("BLOCK", block)):
+        monkeypatch.setattr(nc, name, value)
+    rows = [(i, t) for i, t in enumerate(outliers(sets))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert plain(nc.digest(df, 3, percent), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, percent), key=repr)
+
+
+def test_lists_over_many_small_batches(spark):
+    rows = [(i, t) for i, t in enumerate(drift(9, 60, 80, 5) + drift(8, 30, 12, 1))] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert plain(nc.digest(df), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, 90), key=repr)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_rows_stay_in_proportion():
+    """Of n sets that all may match, n - 1 pairs come out, whatever the list's length."""
+    sets = [np.arange(300, dtype=np.uint64) * nc.ODD[0] for _ in range(200)]
+    vec = nc.pa.chunked_array([nc.pa.array([nc.vector(s) for s in sets])])
+    found = nc._forest(np.arange(200), np.full(200, 300), np.zeros(200, np.int64), np.arange(200), vec, 90)
+    assert len(found) == 199
+    pairs = nc._join_sets([(0, k, 1, np.sort(s).tobytes()) for k, s in enumerate(sets)], False, 90)
+    assert len(pairs) == 199
+
+
 def links_by_force(rows, k, percent):
     """One (doc_id, number of linked rows) per row."""
     sets = [(i, shingle_set(t, k)) for i, t, *_ in rows]
@@ -93,12 +133,6 @@ def test_no_link_is_lost(spark, monkeypatch, blocks):
     assert nc.linked(df.limit(0)).count() == 0
 
 
-def test_without_broadcasts(spark, monkeypatch):
-    monkeypatch.setattr(nc, "BROADCAST_ROWS", -1)
-    df, rows = documents(spark, 2)
-    assert plain(nc.digest(df), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, 90), key=repr)
-
-
 def test_keep_one(spark):
     df, rows = documents(spark, 3)
     want = {(i, c) for i, n, c in by_force(rows, 5, 80) if n and i is not None}
@@ -138,6 +172,7 @@ def test_vectors_bound_the_difference():
     r = np.random.default_rng(1)
     for _ in range(100):
         a, b = (np.unique(r.integers(0, 1 << 63, 300, dtype=np.uint64)[: r.integers(1, 300)]) for _ in "ab")
+        a = np.unique(np.concatenate([a, r.integers(0, 1 << 63, r.choice([0, 0, 9000]), dtype=np.uint64)]))
         b = np.union1d(b, a[: r.integers(0, len(a) + 1)])
         x, y = (nc.vectors([nc.vector(s)]) for s in (a, b))
         assert nc.distances(x, y)[0] <= len(np.setxor1d(a, b))
@@ -162,24 +197,3 @@ def test_components(spark, seed):
 
     got = {row.node: row.component for row in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: least(x) for x in near if near[x] - {x}}
-
-
-def test_wide_vectors_never_rule_out_similar_sets():
-    r = np.random.default_rng(2)
-    ruled_out = 0
-    for _ in range(300):
-        a = np.unique(r.integers(0, 1 << 63, r.integers(1, 700), dtype=np.uint64))
-        b = np.union1d(a[r.random(len(a)) > r.choice([0, 0.05, 0.1, 0.3])], r.integers(0, 1 << 63, r.integers(0, 60), dtype=np.uint64))
-        if not len(b):
-            continue
-        possible = nc.may_be_similar(nc.wide_vector(a), nc.wide_vector(b), 90)
-        assert possible or not nc.similar_sets(a.tobytes(), b.tobytes(), 90)
-        ruled_out += not possible
-    assert ruled_out > 100
-
-
-def test_a_set_with_very_many_pairs(spark, monkeypatch):
-    monkeypatch.setattr(nc, "GROUP", 5)
-    rows = [(i, t) for i, t in enumerate(drift(4, 60, 100, 4))]
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert plain(nc.digest(df), "doc_id", "n_shingles", "component_id") == sorted(by_force(rows, 3, 90), key=repr)
