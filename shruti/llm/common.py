@@ -107,7 +107,7 @@ def met(rows: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFr
     where = lambda c: F.pmod(F.shiftrightunsigned(c, 6), F.lit(FILTER_WORDS))
     flag = lambda c: F.expr(f"shiftleft(1L, cast(`{c}` & 63 as int))")
     bits = wanted.select(where(key).alias(word), flag(key).alias(bit)).groupBy(word).agg(F.bit_or(bit).alias(mask))
-    marked = rows.withColumn(word, where(key)).join(F.broadcast(stored(bits, "filter")), word, "left")
+    marked = rows.withColumn(word, where(key)).join(F.broadcast(bits), word, "left")
     found = F.coalesce(F.col(mask).bitwiseAND(flag(key)) != 0, F.lit(False))
     return tuple(marked.where(x).drop(word, mask) for x in (found, ~found))
 

@@ -16,7 +16,8 @@ of a snippet, the smallest document that has it.
 
 An anchor with very many different snippets (a passage in very many places) is
 split into its windows, each a group of its own that pre-aggregates to one row,
-so that no group grows with the number of documents.
+so that no group grows with the number of documents. Texts of which nothing is
+wanted are never shuffled (``met``), whatever the size of the corpus.
 
 Defined results: a null or empty text has no words; rows with a null id are
 neither removed from nor compared; documents of fewer words than a window have
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, column, per_batch, scratch, stored, text_key, utf8
+from .common import chunks, column, met, per_batch, scratch, stored, text_key, utf8
 from .fm_index import FMIndex
 from .hashing import ODD, U, doubled, mix, windows, words
 
@@ -43,8 +44,6 @@ GRAM = 16
 #: An anchor with more different snippets than this is split into windows.
 MANY = 1000
 SHARD_WORDS = 250_000
-#: Rows, or items of lists in them, that are broadcast at most: some 130 MB.
-BROADCAST_ROWS = 2_000_000
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -100,19 +99,21 @@ def scan_runs(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("doc_id", "ta", "text").mapInArrow(per_batch(run), RUNS)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A stored frame, to be broadcast if it is known to be small; what its lists hold counts as rows."""
-    rows = F.sum(F.size("wanted")) if "wanted" in df.columns else F.count(F.lit(1))
-    return F.broadcast(df) if (df.agg(rows).first()[0] or 0) <= BROADCAST_ROWS else df
-
-
 def requests(df: DataFrame, *columns: str) -> DataFrame:
     """Per document (doc_id, ta) the list of its rows' ``columns``, stored."""
     return stored(df.groupBy("doc_id", "ta").agg(F.collect_list(F.struct(*columns)).alias("wanted")), "requests")
 
 
 def with_requests(rows: DataFrame, wanted: DataFrame, how: str = "inner") -> DataFrame:
-    return rows.join(small(wanted), ["doc_id", "ta"], how)
+    """Texts meet what is wanted of them; only those of which something may be wanted are shuffled."""
+    maybe, never = met(rows, wanted, "ta")
+    found = maybe.join(wanted, ["doc_id", "ta"], how)
+    return found if how == "inner" else found.unionByName(never, allowMissingColumns=True)
+
+
+def of_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is in ``keys`` (stored)."""
+    return met(rows, keys, key)[0].join(keys, key, "left_semi")
 
 
 def split_windows(rows: DataFrame, hot: DataFrame, size: int) -> DataFrame:
@@ -131,19 +132,19 @@ def split_windows(rows: DataFrame, hot: DataFrame, size: int) -> DataFrame:
 
     made = stored(with_requests(rows, requests(hot, "at", "n")).select("doc_id", "ta", "wanted", "text").mapInArrow(per_batch(run), RUNS), "windows")
     shared = stored(made.groupBy("anchor").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")).where("_lo < _hi").select("anchor"), "shared-windows")
-    return made.join(small(shared), "anchor", "left_semi")
+    return of_keys(made, shared, "anchor")
 
 
 def shared_runs(rows: DataFrame, size: int) -> DataFrame:
     """The runs whose anchor is in several documents, those of much repeated anchors as windows."""
     every = stored(scan_runs(rows, size), "runs")
-    lo_hi = every.groupBy("anchor").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")).where("_lo < _hi").select("anchor")
-    shared = stored(every.join(small(stored(lo_hi, "shared")), "anchor", "left_semi"), "shared-runs")
+    several = every.groupBy("anchor").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")).where("_lo < _hi").select("anchor")
+    shared = stored(of_keys(every, stored(several, "shared"), "anchor"), "shared-runs")
     kinds = shared.select("anchor", "snip").distinct().groupBy("anchor").count().where(F.col("count") > MANY).select("anchor")
     kinds = stored(kinds, "many")
     if not kinds.limit(1).count():
         return shared
-    hot, rest = shared.join(small(kinds), "anchor", "left_semi"), shared.join(small(kinds), "anchor", "left_anti")
+    hot, rest = (shared.join(kinds, "anchor", how) for how in ("left_semi", "left_anti"))
     return stored(rest.unionByName(split_windows(rows, hot, size)), "split-runs")
 
 
@@ -278,7 +279,7 @@ def repeats(docs: DataFrame, method: Callable[[int], Callable[[pa.Table], pa.Tab
     with scratch(docs.sparkSession):
         shared = shared_runs(rows, size)
         verdicts = stored(snippets(rows, shared, size).groupBy("shard").applyInArrow(method(size), VERDICT), "verdicts")
-        found = shared.select("snip", "doc_id", "ta", "at").join(small(verdicts), "snip").where("least < doc_id")
+        found = shared.select("snip", "doc_id", "ta", "at").join(verdicts, "snip").where("least < doc_id")
         found = found.select("doc_id", "ta", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") + size).alias("hi"), "least").distinct()
         return stored(found, "repeats", keep=True)
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from shruti.llm import common
 from shruti.llm import repeats as rp
 from shruti.llm.fm_index import FMIndex, WaveletMatrix, suffix_order
 
@@ -73,8 +74,8 @@ def test_much_repeated_anchors(spark, monkeypatch, many):
         assert plain(rp.removed(df, method), *COLUMNS) == want
 
 
-def test_without_broadcasts(spark, monkeypatch):
-    monkeypatch.setattr(rp, "BROADCAST_ROWS", -1)
+def test_with_a_full_filter(spark, monkeypatch):
+    monkeypatch.setattr(common, "FILTER_WORDS", 1)
     monkeypatch.setattr(rp, "MANY", 3)
     rows = list(enumerate(passages(5)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
