@@ -1,4 +1,7 @@
 import json
+import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -84,7 +87,7 @@ def test_very_long_and_deep_pages(spark):
 
 
 def shape(html):
-    return w.shape(html)[0]
+    return w.bare(w.parse(html)[0])
 
 
 def test_folding_makes_repeated_groups():
@@ -101,9 +104,90 @@ def test_alignment_makes_optional_and_repeated():
     assert w.align(both, a) == both == w.align(both, b)
 
 
-def test_inference_covers_every_shape():
+def test_every_page_matches_the_wrapper():
     pages = [page(k, e) for k, e in enumerate(["", "<h2>a</h2>", "<h2>a</h2><p>b</p><h2>c</h2><p>d</p>", "<ul><li>x</li></ul>"])]
     found = w.infer([json.dumps(shape(p)) for p in pages])
-    known = {w.SEP.join(p) for p, _ in w.slot_paths(found)}
+    known = {name for name, _ in w.slot_names(found)}
     for p in pages:
-        assert set(w.shape(p)[1]) <= known
+        nodes, parts = w.parse(p)
+        names, texts = w.match(found, nodes), w.slots_of(nodes)
+        assert len(names) == len(texts) and set(names) <= known
+        assert sorted(k for t in texts for k in t) == [k for k, x in enumerate(parts) if x and not x.isspace()]
+
+
+def test_alignment_decides(spark, monkeypatch):
+    """Template text beside text of the same tag path goes, as the alignment tells their slots apart."""
+    html = "<html><body><div>All rights reserved by us</div><h1>T{0}</h1>{1}<div>body {0}</div>{2}</body></html>"
+    data = [(k, "http://a.org/x", html.format(k, f"<h2>s{k}</h2>" * (k % 2), f"<p>end {k}</p><div>Read more here</div>" * (k % 3 > 0))) for k in range(12)]
+    want = {k: f"T{k} {f's{k} ' * (k % 2)}body {k}" + f" end {k}" * (k % 3 > 0) for k in range(12)}
+    assert {k: t for k, (_, t, _) in texts(spark, data).items()} == want
+    # without it a host's slots are its tag paths, and the three kinds of div are one
+    found = w.infer([json.dumps(shape(h)) for _, _, h in data])
+    names = w.slot_names(found)
+    assert len({p for _, p in names}) < len(names) == 6
+
+
+def test_hosts_of_many_shapes(spark, monkeypatch):
+    monkeypatch.setattr(w, "MERGED", 3)
+    marks = ["<h2>a</h2>", "<ul><li>b</li></ul>", "<h3>c</h3>", "<table><tr><td>d</td></tr></table>"]
+    data = [(k, "http://a.org", page(k, "".join(m for j, m in enumerate(marks) if k >> j & 1))) for k in range(16)]
+    got = texts(spark, data)
+    assert {k: got[k][1] for k in range(16)} == {k: want(k, " ".join("abcd"[j] for j in range(4) if k >> j & 1)) for k in range(16)}
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<p title=it's>hello</p>", "hello"), ('<p title="a > b">x</p>', "x"), ("<p data-x='\"'>x</p>", "x"), ('<p "odd" \'>x</p>', "x"), ("<p/class=ad>x</p>", ""), ("<p class=ad>x</p>y", "y"),
+    ('<p title="open>x</p><b class="z">y</b>', "y"), ('<p title="never closed>x', ""), ("a</>b", "ab"), ("a </ p>b", "a b"), ("1 < 2 <3", "1 < 2 <3"), ("<p", ""), ("<!-- a", ""), ("<p>a<br/>b", "a b"),
+])
+def test_tags_as_browsers_read_them(html, text):
+    parts = w.parse(html)[1]
+    assert " ".join("".join(" " if x is None else x for x in parts).split()) == text
+
+
+def test_deep_and_unbalanced_pages_take_seconds(spark):
+    deep = "<div>" * 5000 + "<p>deep</p><nav>x</nav>" + "</div>" * 5000 + "<p>after</p>"
+    data = [(1, "http://a.org", deep), (2, "http://a.org", deep.replace("5000", "4000") + "<h1>x</h1>"), (3, "http://a.org", '<a "' * 250_000 + ">end"), (4, "http://b.org", "<li><div>" * 30_000), (5, "http://c.org", '<i x="' * 100_000)]
+    varied = "".join(f"<h{k * k % 6 + 1}>t{k}</h{k * k % 6 + 1}><div><b>u</b></div>" for k in range(3000))
+    data += [(6, "http://d.org", varied), (7, "http://d.org", varied[: len(varied) // 2] + "<table><tr><td>v</td></tr></table>" + varied[len(varied) // 2 :])]
+    start = time.monotonic()
+    got = texts(spark, data)
+    assert time.monotonic() - start < 60
+    assert got[1][1] == "deep after" and got[2][1] == "deep after x" and got[3][1] == "end" and got[5][1] == "" and got[6][1].startswith("t0 u t1")
+
+
+def by_hand(html):
+    """The article of a well-formed page by the standard library's parser: what is in it, but for marked elements."""
+    out, stack = [], []
+
+    class Reader(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            bad = tag in w.OUTSIDE or any(k in ("class", "id", "role") and set(re.findall("[a-z]+", (v or "").lower())) & w.OUTSIDE_WORDS for k, v in attrs)
+            if tag in w.VOID:
+                out.append(" ")
+                return
+            if tag not in w.INLINE:
+                out.append(" ")
+            stack.append((tag, bad or tag in ("script", "style")))
+
+        def handle_endtag(self, tag):
+            if any(t == tag for t, _ in stack):
+                while stack.pop()[0] != tag:
+                    pass
+            if tag not in w.INLINE:
+                out.append(" ")
+
+        def handle_data(self, data):
+            if any(t == "article" for t, _ in stack) and not any(b for _, b in stack):
+                out.append(data)
+
+    Reader(convert_charrefs=True).feed(html)
+    return " ".join("".join(out).split())
+
+
+def test_pages_of_the_table_against_another_parser(spark):
+    import pyarrow.parquet as pq
+
+    found = pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()
+    got = texts(spark, [(r["page_id"], r["url"], r["html"]) for r in found])
+    for r in found:
+        assert got[r["page_id"]][1] == by_hand(r["html"]), r["page_id"]
