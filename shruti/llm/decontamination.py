@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, column, per_batch, utf8
+from .common import chunks, column, fresh, per_batch, utf8
 
 #: Fixed values of the contract: A-Z are lower-cased; of ASCII, only digits and letters are word characters.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]")
@@ -148,21 +148,21 @@ def blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, bytes
     return out
 
 
-#: Columns that a scan adds: number of words, hit word ranges (flat), number of hit words, ids of the items with occurring windows.
-ADDED = T.StructType([T.StructField("__wm_words", T.LongType()), T.StructField("__wm_ranges", T.ArrayType(T.LongType())), T.StructField("__wm_hit", T.LongType()), T.StructField("__wm_items", T.ArrayType(T.StringType()))])
+#: What a scan adds: number of words, hit word ranges (flat), number of hit words, ids of the items with occurring windows.
+ADDED = {"n_words": T.LongType(), "ranges": T.ArrayType(T.LongType()), "n_hit": T.LongType(), "items": T.ArrayType(T.StringType())}
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 8 << 20, text: str = "text") -> DataFrame:
-    """``docs`` with the columns of ``ADDED``; one pass for each block of the benchmark, within one stage."""
-    names = [f.name for f in docs.schema if f.name not in ADDED.names]
-    out = docs.select(*[F.col(f"`{n}`") for n in names])
-    fields = out.schema.fields
+def scan(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 8 << 20, text: str = "text") -> tuple[DataFrame, list[str]]:
+    """``docs`` with the columns of ``ADDED``, and these columns' names, which ``docs`` doesn't have; one pass for each block of the benchmark, within one stage."""
+    names = fresh(docs, *ADDED)
+    added = [T.StructField(n, kind) for n, kind in zip(names, ADDED.values())]
+    out = docs
     for items in blocks(benchmark, block_bytes) or [[]]:
-        out = out.mapInArrow(per_batch(_pass(items, width, text, len(names))), T.StructType([*fields, *ADDED.fields]))
-    return out
+        out = out.mapInArrow(per_batch(_pass(items, width, text, len(docs.columns), names)), T.StructType([*docs.schema.fields, *added]))
+    return out, names
 
 
-def _pass(items: list[tuple[str, bytes]], width: int, text: str, n_columns: int):
+def _pass(items: list[tuple[str, bytes]], width: int, text: str, n_columns: int, names: list[str]):
     made: list[Matcher] = []
 
     def run(batch: pa.RecordBatch):
@@ -171,7 +171,7 @@ def _pass(items: list[tuple[str, bytes]], width: int, text: str, n_columns: int)
         texts = utf8(batch, text)
         for a, b in chunks([len(t) for t in texts], 4 << 20):
             part = batch.slice(a, b - a)
-            before = [column(part, c).to_pylist() if batch.num_columns > n_columns else [[]] * (b - a) for c in ("__wm_ranges", "__wm_items")]
+            before = [column(part, c).to_pylist() if batch.num_columns > n_columns else [[]] * (b - a) for c in (names[1], names[3])]
             n_words, ranges, n_hit, ids = [], [], [], []
             for (n, new, owners), old, known in zip(made[0].hits(texts[a:b]), *before):
                 all_ranges = merged(new + list(zip(old[::2], old[1::2])))
@@ -180,25 +180,27 @@ def _pass(items: list[tuple[str, bytes]], width: int, text: str, n_columns: int)
                 n_hit.append(sum(y - x for x, y in all_ranges))
                 ids.append(sorted(owners.union(known)))
             added = [pa.array(v, k) for v, k in zip((n_words, ranges, n_hit, ids), (pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.string())))]
-            yield pa.RecordBatch.from_arrays([*part.columns[:n_columns], *added], names=[*batch.schema.names[:n_columns], *ADDED.names])
+            yield pa.RecordBatch.from_arrays([*part.columns[:n_columns], *added], names=[*batch.schema.names[:n_columns], *names])
 
     return run
 
 
-def contaminated() -> Column:
+def contaminated(n_words: str, n_hit: str) -> Column:
     """The contract's rule, on a scan: some hit words, and at least a twentieth of all."""
-    return (F.col("__wm_hit") > 0) & (20 * F.col("__wm_hit") >= F.col("__wm_words"))
+    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return scan(rows, benchmark, width, block_bytes).select(
-        "doc_id", F.col("__wm_words").alias("n_words"), F.col("__wm_hit").alias("n_hit"), F.size("__wm_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__wm_items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"),
+    out, (n_words, _, n_hit, items) = scan(rows, benchmark, width, block_bytes)
+    return out.select(
+        "doc_id", n_words, n_hit, F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), contaminated(n_words, n_hit).alias("contaminated"),
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    return scan(docs, benchmark, width, block_bytes).where(~contaminated()).drop(*ADDED.names)
+    out, names = scan(docs, benchmark, width, block_bytes)
+    return out.where(~contaminated(names[0], names[2])).drop(*names)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, per_batch, strings
+from .common import column, fresh, per_batch, strings
 
 FEATURES = ("log_chars", "log_words", "word_length", "distinct_words", "repeated_words", "upper", "digits", "stops", "marks", "other_marks", "non_ascii", "entropy", "short_words", "line_words", "distinct_lines", "longest_word")
 _BYTES = np.zeros(256, np.int64)  # classes of bytes: 0 other, 1 lower, 2 upper, 3 digit, 4 space, 5 full stop and comma, 6 common marks, 7 other marks, 8 non-ASCII
@@ -194,4 +194,5 @@ def classify(docs: DataFrame, labels: DataFrame, max_train: int = 20_000) -> Dat
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
-    return score(docs, train(docs, labels, max_train), "__score").where(F.col("__score") >= threshold).drop("__score")
+    (name,) = fresh(docs, "score")
+    return score(docs, train(docs, labels, max_train), name).where(F.col(name) >= threshold).drop(name)

@@ -4,7 +4,7 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators also make themselves.
-CLASHING = ["score", "ta", "_ta", "n", "sid", "length", "piece", "host", "spans", "__hits", "_salt", "y", "component", "least", "lo", "kind", "key", "wanted", "__doc0"]
+CLASHING = ["score", "ta", "_ta", "n", "sid", "length", "piece", "host", "spans", "__hits", "_salt", "y", "component", "least", "lo", "kind", "key", "wanted", "__doc0", "_word", "_bit", "_mask", "_doc", "_again", "n_words", "ranges", "n_hit", "items", "n_hit_", "SCORE_"]
 
 
 def texts(seed=1, n=60):
@@ -37,9 +37,12 @@ def clashing(df):
     """The same rows with further columns of awkward names."""
     from pyspark.sql import functions as F
 
-    for c in CLASHING:
-        df = df.withColumn(c, F.lit("clash"))
-    return df
+    return df.withColumns({c: F.lit(f"clash {c}") for c in CLASHING})
+
+
+def unharmed(df):
+    """Whether the columns of ``clashing`` are as they were."""
+    return df.columns[-len(CLASHING) :] == CLASHING and all(r[c] == f"clash {c}" for r in df.select(*CLASHING).distinct().collect() for c in CLASHING)
 
 
 def plain(df, *columns):

@@ -6,7 +6,7 @@ import pytest
 
 from shruti.llm import decontamination as d
 
-from .corpora import clashing, documents, plain, texts
+from .corpora import clashing, documents, plain, texts, unharmed
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 COLUMNS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -51,7 +51,7 @@ def test_filter_keeps_all_columns(spark):
     bench = items(rows)
     kept = [(i, t, lang) for i, t, lang, *_ in rows if not by_force(t, bench)[4]]
     out = d.decontaminate(clashing(df), spark.createDataFrame(bench, "item_id long, text string"))
-    assert out.columns == clashing(df).columns and plain(out, "doc_id", "text", "lang") == sorted(kept, key=repr)
+    assert out.columns == clashing(df).columns and unharmed(out) and plain(out, "doc_id", "text", "lang") == sorted(kept, key=repr)
 
 
 def test_empty_tables(spark):

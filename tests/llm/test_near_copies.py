@@ -6,7 +6,7 @@ import pytest
 from shruti.llm import near_copies as nc
 from shruti.llm.components import components
 
-from .corpora import clashing, documents, plain
+from .corpora import clashing, documents, plain, unharmed
 
 
 def shingle_set(text, k):
@@ -137,7 +137,7 @@ def test_keep_one(spark):
     df, rows = documents(spark, 3)
     want = {(i, c) for i, n, c in by_force(rows, 5, 80) if n and i is not None}
     kept = nc.keep_one(clashing(df), 5, 80)
-    assert kept.columns == clashing(df).columns
+    assert kept.columns == clashing(df).columns and unharmed(kept)
     got = kept.collect()
     with_words = sorted(r.doc_id for r in got if r.doc_id is not None and (r.text or "").split())
     assert with_words == sorted({c for _, c in want})

@@ -6,7 +6,7 @@ import pytest
 
 from shruti.llm import quality as q
 
-from .corpora import clashing, documents, plain
+from .corpora import clashing, documents, plain, unharmed
 
 
 def corpus(spark, n=400, seed=1):
@@ -77,7 +77,7 @@ def test_keep_good(spark):
     rows = clashing(docs)
     kept = q.keep_good(rows, labels)
     want = [r.doc_id for r in q.classify(docs, labels).where("predicted = 1").collect()]
-    assert kept.columns == rows.columns and sorted(r.doc_id for r in kept.collect()) == sorted(want)
+    assert kept.columns == rows.columns and unharmed(kept) and sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
 def test_scores_are_sums_of_tables():
