@@ -32,7 +32,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ORDER = ("assign", "access", "hex", "pem", "key_base64", "key_hex", "signed_token")
 
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----\s*((?:[A-Za-z0-9-]+:[^\n]*\n(?:[ \t][^\n]*\n)*)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 LONG_HEX = re.compile(r"(?:[0-9a-f]{64,}|[0-9A-F]{64,})")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
@@ -91,6 +91,12 @@ def is_private_key(data: bytes) -> bool:
     return tags == [0x30, 4] and bool(top[0][1]) and top[0][1][0][0] == 6 and len(top[1][1]) >= 32
 
 
+def is_pem_key(headers: str, data: bytes) -> bool:
+    """A private key, or one that its headers call encrypted: whole cipher blocks."""
+    encrypted = re.search(r"^DEK-Info:\s*[A-Z0-9-]+,\s*(?:[0-9A-Fa-f]{2}){8,16}\s*$", headers, re.M) and re.search(r"^Proc-Type:\s*4,\s*ENCRYPTED\s*$", headers, re.M)
+    return len(data) >= 32 and len(data) % 8 == 0 if encrypted else is_private_key(data)
+
+
 def from_base64(text: str) -> bytes:
     text = text.rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -100,13 +106,14 @@ def from_base64(text: str) -> bytes:
 
 
 def is_signed_token(text: str) -> bool:
-    """A JSON header that names an algorithm, and a payload that decodes."""
-    head, body, _ = text.split(".", 2)
+    """A JSON header that names an algorithm other than none, a payload and a signature that decode."""
+    head, body, signature = text.split(".", 2)
     try:
         header = json.loads(from_base64(head))
     except (ValueError, UnicodeDecodeError, RecursionError):
         return False
-    return isinstance(header, dict) and isinstance(header.get("alg"), str) and bool(from_base64(body))
+    named = isinstance(header, dict) and isinstance(header.get("alg"), str) and header["alg"].lower() != "none"
+    return named and bool(from_base64(body)) and bool(from_base64(signature))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -122,7 +129,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     if "-----BEGIN " in text:
-        found += [(*m.span(), "pem") for m in PEM.finditer(text) if is_private_key(from_base64(re.sub(r"\s", "", m[2])))]
+        found += [(*m.span(), "pem") for m in PEM.finditer(text) if is_pem_key(m[2], from_base64(re.sub(r"\s", "", m[3])))]
     found += [(*m.span(), "key_base64") for m in BASE64.finditer(text) if is_private_key(from_base64(m[0]))]
     found += [(*m.span(), "key_hex") for m in LONG_HEX.finditer(text) if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0]))]
     if "eyJ" in text:

@@ -89,6 +89,17 @@ def test_signed_tokens():
     for head in ({"typ": "JWT"}, {"alg": 5}, ["alg"]):
         bad = ".".join([b64url(json.dumps(head).encode().ljust(12)), b64url(b"{}xx"), ""])
         assert kinds(bad) == []
+    for head, signature in (({"alg": "none"}, bytes(20)), ({"alg": "HS256"}, b"")):
+        assert kinds(".".join([b64url(json.dumps(head).encode()), b64url(b'{"sub":"1"}'), b64url(signature)])) == []
+
+
+def test_pem_with_headers():
+    body = base64.encodebytes(bytes(range(96))).decode()
+    pem = "-----BEGIN RSA PRIVATE KEY-----\n{}\n" + body + "-----END RSA PRIVATE KEY-----"
+    assert "pem" in kinds(pem.format("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n"))
+    assert kinds(pem.format("Proc-Type: 4,ENCRYPTED\nDEK-Info: none\n")) == [] and kinds(pem.format("Comment: x\n")) == []
+    plain_key = "-----BEGIN RSA PRIVATE KEY-----\nComment: x\n\n" + base64.encodebytes(RSA).decode() + "-----END RSA PRIVATE KEY-----"
+    assert "pem" in kinds(plain_key)
 
 
 def test_hostile_structures():
