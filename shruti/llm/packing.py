@@ -56,8 +56,8 @@ def load_encoder(path: str):
     def one(text: str) -> np.ndarray:
         try:
             return np.array(quick.encode_ordinary(text), "<u4")
-        except BaseException as e:  # the Rust side panics on some extreme runs
-            if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
+        except BaseException as e:  # the Rust side panics on some extreme runs; its exception's class can't be imported
+            if type(e).__name__ != "PanicException":
                 raise
             return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
 
