@@ -7,9 +7,9 @@ digits (card, bank account) are made anew, listed first names go to listed first
 names of the same gender and script. The same entity has the same surrogate in
 every document (coreference), however it is written; different ones have
 different surrogates (distinctness), as the map is a permutation without fixed
-points. Nothing has to be agreed on between tasks, so the operator is one pass
-over the rows. A check of each row, and ``collisions`` over the whole corpus,
-confirm that no two entities share a surrogate.
+points. Nothing has to be agreed on between tasks, so replacing is one pass over
+the rows. A check of each row, and one pass over the whole corpus before
+(``confirm``), make sure that no two entities share a surrogate.
 
 Defined results: a null text stays null, an empty one empty; repeated rows are
 replaced alike; rows without entities are unchanged; an empty table gives no
@@ -314,8 +314,16 @@ def collisions(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     return pairs.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def confirm(docs: DataFrame, key: bytes, text: str = "text") -> None:
+    """An error if two entities of the whole corpus share a surrogate."""
+    found = collisions(docs, key, text).limit(1).collect()
+    if found:
+        raise ValueError(f"surrogates of kind {found[0].kind} collide")
+
+
 def digest(docs: DataFrame, key: bytes) -> DataFrame:
     """doc_id, text (with surrogates; null: empty), n_entities, spans of each document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    confirm(rows, key)
     out = pseudonymise(rows, key, spans=SPANS)
     return out.select("doc_id", "text", F.when(F.col(SPANS) == "", 0).otherwise(F.size(F.split(SPANS, ","))).cast("long").alias("n_entities"), SPANS)

@@ -5,7 +5,7 @@ import pytest
 
 from shruti.llm import surrogates as s
 
-from .corpora import clashing, documents, plain
+from .corpora import clashing, documents, plain, unharmed
 
 KEY = b"test key"
 
@@ -112,7 +112,7 @@ def test_columns_pass_and_rows_stay(spark):
     some = spark.createDataFrame([(7000 + i, "call " + " ".join(person(i).values()), "en", "s", 1) for i in range(40)], df.schema)
     all_rows = clashing(df.unionByName(some))
     out = s.pseudonymise(all_rows, KEY)
-    assert out.columns == all_rows.columns
+    assert out.columns == all_rows.columns and unharmed(out)
     before, after = {r.doc_id: r for r in some.collect()}, {r.doc_id: r for r in out.collect()}
     assert plain(out.where("doc_id < 7000"), "doc_id", "text", "lang") == plain(df.where("doc_id < 7000"), "doc_id", "text", "lang")
     assert all(after[i].text != before[i].text for i in before)
@@ -121,3 +121,12 @@ def test_columns_pass_and_rows_stay(spark):
     assert digest[9001].text == "" and digest[9001].n_entities == 0 and digest[7000].n_entities == 5 and digest[7000].text == after[7000].text
     assert s.collisions(all_rows, KEY).count() == 0
     assert s.pseudonymise(df.limit(0), KEY).count() == 0
+
+
+def test_collisions_stop_the_operator(spark, monkeypatch):
+    pair = spark.createDataFrame([("email", "x@y.org", 2)], "kind string, surrogate string, n long")
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    s.confirm(df, KEY)
+    monkeypatch.setattr(s, "collisions", lambda *a: pair)
+    with pytest.raises(ValueError, match="collide"):
+        s.digest(df, KEY)
