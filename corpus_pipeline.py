@@ -33,6 +33,7 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
+    surrogates.confirm(docs, pii_key(spark))
     return surrogates.pseudonymise(docs, pii_key(spark))
 
 
