@@ -44,8 +44,9 @@ from .components import components
 from .hashing import ODD, U, mix, shingles, words
 
 CHUNK = 2 << 20
-#: Buckets of the count vectors, whose distance bounds the size of a symmetric difference from below.
+#: Buckets of the count vectors, whose distance bounds the size of a symmetric difference from below: at least so many, and one for each 8 elements or fewer; so many at most in entries of lists.
 BUCKETS = 256
+LIST_BUCKETS = 1024
 #: Bits of the table of frequent shingles; per task, only buckets far above the mean are reported.
 HOT_BITS = 20
 #: Lists of so many entries at most give their pairs, longer ones a forest; entries of one block of a list.
@@ -74,13 +75,28 @@ def set_id(s: np.ndarray) -> int:
 
 def vector(s: np.ndarray) -> bytes:
     """Counts of elements by bucket modulo 16, two to a byte."""
-    counts = (np.bincount((s >> U(40)) & U(BUCKETS - 1), minlength=BUCKETS) & 15).astype(np.uint8)
+    width = max(BUCKETS, 1 << ((len(s) - 1) // 8).bit_length())
+    counts = (np.bincount((s >> U(20)) & U(width - 1), minlength=width) & 15).astype(np.uint8)
     return (counts[::2] | counts[1::2] << 4).tobytes()
 
 
 def vectors(column: list[bytes]) -> np.ndarray:
-    packed = np.frombuffer(b"".join(column), np.uint8).reshape(-1, BUCKETS // 2)
-    return np.concatenate([packed & 15, packed >> 4], 1).view(np.int8)
+    """Counts of vectors of one width."""
+    packed = np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
+    return np.stack([packed & 15, packed >> 4], 2).reshape(len(column), -1).view(np.int8)
+
+
+def folded(counts: np.ndarray, width: int) -> np.ndarray:
+    """Vectors of a greater width as ones of ``width``."""
+    return counts.reshape(len(counts), -1, width).sum(1, dtype=np.int8) & 15
+
+
+def list_vector(v: bytes) -> bytes:
+    """The vector in at most ``LIST_BUCKETS`` buckets."""
+    if 2 * len(v) <= LIST_BUCKETS:
+        return v
+    counts = folded(vectors([v]), LIST_BUCKETS)[0].view(np.uint8)
+    return (counts[::2] | counts[1::2] << 4).tobytes()
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -89,34 +105,47 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.minimum(apart, 16 - apart).sum(1, dtype=np.int64)
 
 
+def distances_of(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Of each two vectors, whatever their widths."""
+    widths = np.array([[2 * len(x), 2 * len(y)] for x, y in zip(a, b)])
+    out = np.zeros(len(a), np.int64)
+    for pair in np.unique(widths, axis=0):
+        at = np.flatnonzero((widths == pair).all(1))
+        for part in np.array_split(at, 1 + len(at) * int(pair.max()) // CHUNK):
+            out[part] = distances(*(folded(vectors([c[k] for k in part]), int(pair.min())) for c in (a, b)))
+    return out
+
+
 def least_overlap(n: int, percent: int) -> int:
     """Elements that a set of ``n`` shares at least with any similar one."""
     return -(-percent * n // 100)
 
 
 def scan_sets(rows: DataFrame, width: int) -> DataFrame:
-    """doc_id, ta, n, sid and vec of each row; and rows of kind "hot" (sid: bucket, n: count) for frequent shingles."""
+    """doc_id, ta, n, sid, vec and wide (the vector where it has more buckets than vec) of each row; and rows of kind "hot" (sid: bucket, n: count) for frequent shingles."""
 
     def run(batches):
         seen = np.zeros(1 << HOT_BITS, np.int64)
-        names, kinds = ["doc_id", "ta", "n", "sid", "vec", "hot"], (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.bool_())
+        names, kinds = ["doc_id", "ta", "n", "sid", "vec", "wide", "hot"], (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.bool_())
         for batch in batches:
-            n, sid, vec = [], [], []
+            n, sid, vec, wide = [], [], [], []
             for _, _, sets in sets_of(utf8(batch), width):
                 for s in sets:
                     n.append(len(s))
                     sid.append(set_id(s))
-                    vec.append(vector(s) if len(s) else None)
+                    v = vector(s) if len(s) else b""
+                    vec.append(list_vector(v) or None)
+                    wide.append(v if 2 * len(v) > LIST_BUCKETS else None)
                 if sets:
                     seen += np.bincount((np.concatenate(sets) >> U(64 - HOT_BITS)).astype(np.int64), minlength=1 << HOT_BITS)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "ta"), *(pa.array(c, k) for c, k in zip((n, sid, vec, [False] * len(n)), kinds[2:]))], names=names)
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "ta"), *(pa.array(c, k) for c, k in zip((n, sid, vec, wide, [False] * len(n)), kinds[2:]))], names=names)
         mean = seen.mean()
         hot = np.flatnonzero(seen > mean + 4 * mean**0.5 + 4)
         if len(hot):
             nulls = pa.nulls(len(hot), pa.int64())
-            yield pa.RecordBatch.from_arrays([nulls, nulls, pa.array(np.minimum(seen[hot], 2**31 - 1).astype(np.int32)), pa.array(hot), pa.nulls(len(hot), pa.binary()), pa.array(np.ones(len(hot), bool))], names=names)
+            yield pa.RecordBatch.from_arrays([nulls, nulls, pa.array(np.minimum(seen[hot], 2**31 - 1).astype(np.int32)), pa.array(hot), pa.nulls(len(hot), pa.binary()), pa.nulls(len(hot), pa.binary()), pa.array(np.ones(len(hot), bool))], names=names)
 
-    return rows.select("doc_id", "ta", "text").mapInArrow(run, "doc_id long, ta long, n int, sid long, vec binary, hot boolean")
+    return rows.select("doc_id", "ta", "text").mapInArrow(run, "doc_id long, ta long, n int, sid long, vec binary, wide binary, hot boolean")
 
 
 def subsets(n: int, percent: int) -> int:
@@ -262,12 +291,12 @@ def _lists(rows: list[np.ndarray], out_id, percent: int, blocks: np.ndarray, end
 
 def vector_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose count vectors don't rule them out."""
-    va, vb = (reps.select(F.col("sid").alias(x), F.col("vec").alias(f"vec_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    va, vb = (reps.select(F.col("sid").alias(x), F.coalesce("wide", "vec").alias(f"vec_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = (vectors(column(batch, c).to_pylist()) for c in ("vec_a", "vec_b"))
+        apart = distances_of(*(column(batch, c).to_pylist() for c in ("vec_a", "vec_b")))
         total = column(batch, "n_a").to_numpy().astype(np.int64) + column(batch, "n_b").to_numpy()
-        keep = pa.array(may_differ(distances(x, y), total, percent))
+        keep = pa.array(may_differ(apart, total, percent))
         return pa.RecordBatch.from_arrays([column(batch, c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
     return pairs.join(va, "a").join(vb, "b").mapInArrow(per_batch(run), "a long, b long")
@@ -316,14 +345,30 @@ def _forest(sid: np.ndarray, n: np.ndarray, at: np.ndarray, component: np.ndarra
     left = int(label.max()) + 1
     if left < 2:
         return np.zeros((0, 2), np.int64)
-    vec = vectors(vec.to_pylist())
+    vec = vec.to_pylist()
+    width = np.array([2 * len(v) for v in vec])
+    own = {w: vectors([v for v, x in zip(vec, width) if x == w]) for w in np.unique(width).tolist()}
+    half = {w: folded(c, w // 2) for w, c in own.items()}
+    first_of = {w: int(np.searchsorted(width, w)) for w in own}  # sizes rise, and so do widths
+
+    def apart(x: int, y: np.ndarray) -> np.ndarray:
+        """A set of at most twice the size has a vector of at most twice the width."""
+        w = int(width[x])
+        mine = own[w][x - first_of[w]]
+        out = np.zeros(len(y), np.int64)
+        for wide, known in ((w, own), (2 * w, half)):
+            at = width[y] == wide
+            if at.any():
+                out[at] = distances(mine, known[wide][y[at] - first_of[wide]])
+        return out
+
     until = np.searchsorted(n, 100 * n // percent, "right")  # larger ones can't be similar
     out = []
     for x in range(len(n) - 1):
         y = x + 1 + np.flatnonzero(label[x + 1 : until[x]] != label[x])
         y = y[may_match(n[x], n[y], at[x], at[y], percent)]
         if len(y):
-            y = y[may_differ(distances(vec[x : x + 1], vec[y]), n[x] + n[y], percent)]
+            y = y[may_differ(apart(x, y), n[x] + n[y], percent)]
         if len(y):
             labels, first = np.unique(label[y], return_index=True)
             out.append(np.stack([np.full(len(first), sid[x]), sid[y[first]]], 1))
@@ -458,7 +503,7 @@ def similar(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFra
     hot = {r[0]: r[1] for r in scanned.where("hot").groupBy("sid").agg(F.sum("n")).collect()}  # at most 2**HOT_BITS rows
     some = scanned.where("not hot and n > 0 and doc_id is not null")
     top = max(BOUNDARIES)
-    reps = some.groupBy("sid").agg(F.min(F.struct("doc_id", "ta")).alias("r"), F.first("n").alias("n"), F.first("vec").alias("vec")).select("sid", "r.doc_id", "r.ta", "n", "vec")
+    reps = some.groupBy("sid").agg(F.min(F.struct("doc_id", "ta")).alias("r"), F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("wide").alias("wide")).select("sid", "r.doc_id", "r.ta", "n", "vec", "wide")
     reps = stored(reps, "reps")
     entries = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     counted = reps.groupBy(F.least("n", F.lit(top + 1)).alias("n")).agg(F.count(F.lit(1)).alias("c"), F.sum(entries).alias("e")).collect()

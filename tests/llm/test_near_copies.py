@@ -174,8 +174,29 @@ def test_vectors_bound_the_difference():
         a, b = (np.unique(r.integers(0, 1 << 63, 300, dtype=np.uint64)[: r.integers(1, 300)]) for _ in "ab")
         a = np.unique(np.concatenate([a, r.integers(0, 1 << 63, r.choice([0, 0, 9000]), dtype=np.uint64)]))
         b = np.union1d(b, a[: r.integers(0, len(a) + 1)])
-        x, y = (nc.vectors([nc.vector(s)]) for s in (a, b))
-        assert nc.distances(x, y)[0] <= len(np.setxor1d(a, b))
+        differ = len(np.setxor1d(a, b))
+        for f in (nc.vector, lambda s: nc.list_vector(nc.vector(s))):
+            assert nc.distances_of([f(a)], [f(b)])[0] <= differ
+            assert nc.distances_of([f(a), f(a)], [f(a), f(b)])[0] == 0
+
+
+@pytest.mark.parametrize("n", [300, 2000, 5000, 20_000])
+def test_vectors_tell_unrelated_sets_apart(n):
+    r = np.random.default_rng(n)
+    a, b = (np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in "ab")
+    like = np.union1d(a[n // 40 :], b[: n // 40])
+    far, near = nc.distances_of([nc.vector(a)] * 2, [nc.vector(b), nc.vector(like)])
+    assert not nc.may_differ(far, 2 * n, 80) and nc.may_differ(near, 2 * n, 80)
+
+
+def test_forest_of_sets_of_several_widths():
+    r = np.random.default_rng(5)
+    whole = np.unique(r.integers(0, 1 << 63, 2600, dtype=np.uint64))
+    sets = [whole[:n] for n in (1900, 2040, 2060, 2280, 2500, 2600)]
+    vec = nc.pa.chunked_array([nc.pa.array([nc.list_vector(nc.vector(s)) for s in sets])])
+    n = np.array([len(s) for s in sets])
+    assert len({len(v) for v in vec.to_pylist()}) == 2
+    assert len(nc._forest(np.arange(6), n, np.zeros(6, np.int64), np.arange(6), vec, 90)) == 5
 
 
 @pytest.mark.parametrize("seed", range(3))
