@@ -40,7 +40,7 @@ def level_statistic(wav: Column) -> Column:
 
 
 def wada_snr(wav: Column, table: list[float] = WADA_TABLE, statistic: Column | None = None) -> Column:
-    """Blind noise estimate in dB: the statistic's place in the table, linear between entries, clamped at its ends; NaN for no finite samples.
+    """Blind noise estimate in dB: the statistic's place in the table, linear between entries, clamped at its ends; NaN for no samples and where one is NaN or infinite.
 
     statistic: the column of ``level_statistic``, where it is there already (it is used several times).
     """
@@ -54,7 +54,7 @@ def wada_snr(wav: Column, table: list[float] = WADA_TABLE, statistic: Column | N
 
     inside = let(F.size(F.filter(g, lambda y: y < v)), between)
     last = FIRST_DB + len(table) - 1
-    known = F.when(v <= table[0], F.lit(FIRST_DB)).when(v >= table[-1], F.lit(last)).otherwise(inside)
+    known = F.when(F.isnan(v), F.lit(float("nan"))).when(v <= table[0], F.lit(FIRST_DB)).when(v >= table[-1], F.lit(last)).otherwise(inside)
     return F.when(F.coalesce((F.size(wav) > 0) & finite, F.lit(False)), known).otherwise(F.lit(float("nan")))
 
 

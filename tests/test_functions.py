@@ -114,7 +114,7 @@ def test_wada(spark):
     for (g,), w in zip(got, wavs):
         want = py_wada(w)
         assert (math.isnan(g) and math.isnan(want)) or g == pytest.approx(want, abs=1e-6)
-    nothing = one(spark, "w array<double>", [([math.nan],), (None,)], signal.wada_snr(F.col("w")))
+    nothing = one(spark, "w array<double>", [([math.nan],), (None,), ([0.1, math.nan, 0.3],), ([0.1, math.inf, 0.3],), ([-math.inf, 0.1],)], signal.wada_snr(F.col("w")))
     assert all(math.isnan(g) for (g,) in nothing)
     scaled = one(spark, "w array<double>", [(wavs[7].tolist(),), ((wavs[7] * 1000).tolist(),)], signal.wada_snr(F.col("w")))
     assert scaled[0][0] == pytest.approx(scaled[1][0], abs=1e-6)
