@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pytest
 
 from shruti.llm import common, hashing
 
@@ -18,6 +19,25 @@ def test_scratch_removes_what_is_not_kept(spark):
     assert d.count() == 5
 
 
+@pytest.mark.parametrize("words", [1, 1 << 10])
+def test_met_loses_no_row(spark, monkeypatch, words):
+    monkeypatch.setattr(common, "FILTER_WORDS", words)
+    rows = spark.range(2000).selectExpr("id", "xxhash64(id) as k", "1 as _word", "2 as _bit_").unionByName(spark.sql("select 5000L as id, null as k, 1 as _word, 2 as _bit_"))
+    wanted = rows.where("id % 100 = 0 and id < 2000").select("k")
+    maybe, never = common.met(rows, wanted, "k")
+    assert maybe.columns == never.columns == rows.columns
+    some, others = ({r.id for r in x.collect()} for x in (maybe, never))
+    assert some >= set(range(0, 2000, 100)) and some.isdisjoint(others) and some | others == {*range(2000), 5000}
+    assert words == 1 or len(some) < 60
+    assert all(x._word == 1 and x._bit_ == 2 for x in maybe.collect())
+    assert common.met(rows, wanted.limit(0), "k")[0].count() == 0
+
+
+def test_fresh_names(spark):
+    df = spark.sql("select 1 as A, 2 as a_, 3 as c")
+    assert common.fresh(df, "a", "b", "b") == ["a__", "b", "b_"]
+
+
 def test_chunks_cover_everything_in_order():
     sizes = [3, 100, 1, 1, 50, 60, 0, 0, 200]
     got = list(common.chunks(sizes, 100))
