@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH = 64
 
@@ -49,37 +50,42 @@ def _one_by_one(call: Callable, items: list) -> list[tuple]:
     try:
         return [(r, None) for r in call(items)]
     except Exception as whole:  # a model may raise anything; it becomes a column
-        if len(items) == 1:
-            return [(None, f"{type(whole).__name__}: {whole}")]
+        if len(items) <= 1:
+            return [(None, f"{type(whole).__name__}: {whole}") for _ in items]
         return [pair for x in items for pair in _one_by_one(call, [x])]
 
 
-def transcribe(rows: DataFrame, make: Callable[[], Backend], language: str, batch: int = BATCH) -> DataFrame:
-    """``rows`` (utt_id, wav) with hypothesis and error; no text is the empty one."""
+def transcribe(rows: DataFrame, make: Callable[[], Backend], language: str, batch: int = BATCH, carry: tuple[str, ...] = ("utt_id",)) -> DataFrame:
+    """``carry`` columns of ``rows`` (and wav) with hypothesis and error; no text is the empty one. Rows without samples (null) are errors that the model never sees."""
+    kept = [rows.schema[c] for c in carry]
+    schema = T.StructType([*kept, T.StructField("hypothesis", T.StringType()), T.StructField("error", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make()
         for part in batches:
             for a in range(0, len(part), batch):
                 some = part.iloc[a : a + batch]
-                wavs = [np.asarray(w if w is not None else [], np.float32) for w in some["wav"]]
-                found = _one_by_one(lambda ws: backend.transcribe(ws, language), wavs)
-                yield pd.DataFrame({"utt_id": some["utt_id"].values, "hypothesis": [(r or "") if e is None else None for r, e in found], "error": [e for _, e in found]})
+                wavs = [None if w is None else np.asarray(w, np.float32) for w in some["wav"]]
+                said = iter(_one_by_one(lambda ws: backend.transcribe(ws, language), [w for w in wavs if w is not None]))
+                found = [(None, "no audio") if w is None else next(said) for w in wavs]
+                yield pd.DataFrame({**{c: some[c].values for c in carry}, "hypothesis": [(r or "") if e is None else None for r, e in found], "error": [e for _, e in found]})
 
-    return rows.select("utt_id", "wav").mapInPandas(run, "utt_id string, hypothesis string, error string")
+    return rows.select(*carry, "wav").mapInPandas(run, schema)
 
 
-def frames(rows: DataFrame, make: Callable[[], Backend]) -> DataFrame:
-    """``rows`` (utt_id, wav) with frames of raw outputs and error."""
+def frames(rows: DataFrame, make: Callable[[], Backend], carry: tuple[str, ...] = ("utt_id",)) -> DataFrame:
+    """``carry`` columns of ``rows`` (and wav) with frames of raw outputs and error, which rows without samples (null) have."""
+    kept = [rows.schema[c] for c in carry]
+    schema = T.StructType([*kept, *T._parse_datatype_string("frames array<array<double>>, error string").fields])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make()
         for part in batches:
-            for utt, wav in zip(part["utt_id"], part["wav"]):
-                ((found, error),) = _one_by_one(lambda ws: [backend.logits(w) for w in ws], [np.asarray(wav if wav is not None else [], np.float32)])
-                yield pd.DataFrame({"utt_id": [utt], "frames": [None if found is None else [list(map(float, f)) for f in found]], "error": [error]})
+            for i, wav in enumerate(part["wav"]):
+                ((found, error),) = [(None, "no audio")] if wav is None else _one_by_one(lambda ws: [backend.logits(w) for w in ws], [np.asarray(wav, np.float32)])
+                yield pd.DataFrame({**{c: part[c].iloc[i : i + 1].values for c in carry}, "frames": [None if found is None else [list(map(float, f)) for f in found]], "error": [error]})
 
-    return rows.select("utt_id", "wav").mapInPandas(run, "utt_id string, frames array<array<double>>, error string")
+    return rows.select(*dict.fromkeys((*carry, "wav"))).mapInPandas(run, schema)
 
 
 def marked(transcripts: DataFrame, marker: str) -> DataFrame:

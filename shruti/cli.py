@@ -1,12 +1,15 @@
-"""Command line: ``python -m shruti.cli audit|evaluate|pairs|resample ...``; thin, the work is in the operators."""
+"""Command line: ``python -m shruti.cli audit|evaluate|kaldi|folder|crosscheck|qc|pairs|resample ...``; thin, the work is in the operators."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import jobs
+from .functions import ctc
 from .functions.recording import DERIVED
 from .operators import audit, corpus_eval
 from .sinks import files
@@ -47,6 +50,16 @@ def audit_root(spark: SparkSession, root: str, prefix: str, splits: list[str]) -
     return audit.audit(_grained(kaldi.text(read("text"))), _grained(kaldi.segments(read("segments"))), resolved, _grained(kaldi.two_column(read("utt2spk"), "utt_id", "spk_id")), _grained(kaldi.utt2dur(read("utt2dur"))))
 
 
+def factory(name: str):
+    """What makes a backend, by ``module:name``; it is imported where it is used, on the executors."""
+    module, _, made = name.partition(":")
+
+    def make():
+        return getattr(importlib.import_module(module), made)()
+
+    return make
+
+
 def main(args: list[str] | None = None) -> None:
     top = argparse.ArgumentParser(description=__doc__)
     sub = top.add_subparsers(dest="command", required=True)
@@ -59,6 +72,24 @@ def main(args: list[str] | None = None) -> None:
     one.add_argument("--results", required=True)
     one.add_argument("--out", required=True)
     one.add_argument("--compat-failed-rows", action="store_true")
+    for name, what in (("kaldi", "transcripts, error rates and manifests of a corpus' splits"), ("folder", "transcripts and error rates of a folder of pairs"), ("crosscheck", "a third transcript beside each row of a CSV"), ("qc", "agreement of audio and transcripts of a Kaldi folder")):
+        one = sub.add_parser(name, help=what)
+        one.add_argument("--input", required=True)
+        one.add_argument("--out", required=True)
+        one.add_argument("--backend", required=True, help="module:name of what makes the model")
+        one.add_argument("--language", default="-")
+        if name == "kaldi":
+            one.add_argument("--splits", default="train,dev,eval")
+            one.add_argument("--decoder", default="ctc")
+        if name == "folder":
+            one.add_argument("--audio-dir", default="audio_16k")
+            one.add_argument("--text-dir", default="transcripts")
+        if name == "qc":
+            one.add_argument("--vocabulary", required=True, help="a file of the language's pieces, one a line")
+            one.add_argument("--classes", type=int, help="outputs of the model, the blank among them; by default the pieces and the blank")
+            one.add_argument("--languages", help="all languages of a joint model, in order of their blocks")
+            one.add_argument("--threshold", type=float, default=jobs.qc.SCORE_THRESHOLD)
+            one.add_argument("--min-token", type=float)
     one = sub.add_parser("pairs", help="audio and transcripts of a folder that match by name")
     one.add_argument("--folder", required=True)
     one.add_argument("--out", required=True)
@@ -76,10 +107,20 @@ def main(args: list[str] | None = None) -> None:
     elif a.command == "evaluate":
         read = tables.read_csv(spark, a.results, "utt_id, split, reference, hypothesis")
         results = corpus_eval.evaluate(read.withColumn("split", F.coalesce("split", F.lit("all"))))
-        files.write_csv(results, f"{a.out}/results.csv", by=["split"])
+        files.write_csv(results.drop("edits"), f"{a.out}/results.csv", by=["split"])
         summary = corpus_eval.summarize(results, "split", compat_failed_rows=a.compat_failed_rows)
         files.write_summary(summary, f"{a.out}/summary.txt", "ctc", "-")
         summary.show(truncate=False)
+    elif a.command == "kaldi":
+        jobs.evaluate_kaldi(spark, a.input.rstrip("/"), a.splits.split(","), a.out, factory(a.backend), a.language, a.decoder).show(truncate=False)
+    elif a.command == "folder":
+        jobs.evaluate_folder(spark, a.input.rstrip("/"), a.out, factory(a.backend), a.language, a.audio_dir, a.text_dir).show(truncate=False)
+    elif a.command == "crosscheck":
+        jobs.check_transcripts(spark, a.input, a.out, factory(a.backend), a.language).show(truncate=False)
+    elif a.command == "qc":
+        pieces = [r.line for r in kaldi.lines(spark, a.vocabulary).orderBy("line_no").collect() if r.line]  # a model's vocabulary
+        part = ctc.language_slice(a.classes or len(pieces) + 1, a.languages.split(",") if a.languages else None, a.language if a.languages else None)
+        jobs.check_alignment(spark, a.input.rstrip("/"), a.out, factory(a.backend), pieces, a.threshold, a.min_token, part).show(truncate=False)
     elif a.command == "pairs":
         wavs, texts = (audio.files(spark, f"{a.folder}/{d}", p) for d, p in (("audio", r"\.wav$"), ("transcripts", r"\.txt$")))
         files.write_csv(audio.folder_pairs(wavs, texts), a.out)
@@ -100,8 +141,12 @@ def main(args: list[str] | None = None) -> None:
             there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(a.output).select(F.regexp_replace("path", "^file:/+", "/").alias("out"), audio.probe("content").alias("h"))
             there = there.where(~audio.needs_conversion(F.col("h.sample_rate"), F.col("h.channels"))).select("out")
             content = content.withColumn("out", out).join(there, "out", "left_anti")
+        total = found.count()
         converted = audio.convert(content).withColumn("out", out)
-        files.write_wavs(converted, "out").agg(F.count(F.lit(1)).alias("written"), F.sum("bytes").alias("bytes")).show()
+        done = files.write_wavs(converted, "out").groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).collect()  # a row for each status
+        n = {r.status: r.n for r in done}
+        counts = [("converted", n.get("converted", 0)), ("copied", n.get("skipped", 0)), ("errors", n.get("error", 0)), ("skipped", total - sum(n.values()))]
+        spark.createDataFrame(counts, "outcome string, files long").show()
 
 
 if __name__ == "__main__":

@@ -36,13 +36,16 @@ def char_edits(ref: Column, hyp: Column) -> Column:
     return F.levenshtein(ref, hyp)
 
 
-def error_rates(ref: Column, hyp: Column) -> Column:
-    """struct(WER, CER) in percent of normalised texts, rounded to 4: 0 if both are empty, -1 if the reference is, 100 if the hypothesis is."""
-    r, h = F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit(""))
-    rate = lambda edits, n: F.round(F.try_divide(100.0 * edits, n), 4)
-    return (
-        F.when((r == "") & (h == ""), F.struct(F.lit(0.0).alias("WER"), F.lit(0.0).alias("CER")))
-        .when(r == "", F.struct(F.lit(-1.0).alias("WER"), F.lit(-1.0).alias("CER")))
-        .when(h == "", F.struct(F.lit(100.0).alias("WER"), F.lit(100.0).alias("CER")))
-        .otherwise(F.struct(rate(word_edits(r, h), F.size(words(r))).alias("WER"), rate(char_edits(r, h), F.char_length(r)).alias("CER")))
+def edits(ref: Column, hyp: Column) -> Column:
+    """struct(words, chars): edits between two normalised texts. The costly part of error rates, so make it a column and use it again."""
+    return F.when((ref == "") | (hyp == ""), F.struct(F.size(words(F.concat(ref, hyp))).alias("words"), F.char_length(F.concat(ref, hyp)).alias("chars"))).otherwise(
+        F.struct(word_edits(ref, hyp).alias("words"), char_edits(ref, hyp).alias("chars"))
     )
+
+
+def error_rates(ref: Column, hyp: Column, found: Column | None = None) -> Column:
+    """struct(WER, CER) in percent of normalised texts, rounded to 4: 0 if both are empty, -1 if the reference is, 100 if the hypothesis is. found: their ``edits``."""
+    r, h = F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit(""))
+    found = edits(r, h) if found is None else found
+    rate = lambda n, of: F.when(of > 0, F.round(100.0 * n / of, 4)).otherwise(F.when(h == "", 0.0).otherwise(-1.0))
+    return F.struct(rate(found["words"], F.size(words(r))).alias("WER"), rate(found["chars"], F.char_length(r)).alias("CER"))

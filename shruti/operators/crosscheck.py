@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity
@@ -34,5 +34,5 @@ def flagged(checked: DataFrame) -> DataFrame:
 def histogram(checked: DataFrame) -> DataFrame:
     """category, n and percent, the most frequent first."""
     counts = checked.groupBy("category").agg(F.count(F.lit(1)).alias("n"))  # a row for each category
-    total = counts.agg(F.sum("n").alias("_t")).first()["_t"] or 1
+    total = F.sum("n").over(Window.partitionBy())
     return counts.withColumn("percent", F.round(100.0 * F.col("n") / total, 4)).orderBy(F.desc("n"), "category")

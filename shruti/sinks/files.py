@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def write_ids(df: DataFrame, path: str, column: str = "utt_id") -> None:
-    """One id per line."""
-    df.select(F.col(column).cast("string")).write.mode("overwrite").text(path)
+    """One id per line, sorted; no ids at all are one blank line."""
+    ids = df.select(F.col(column).cast("string").alias("value"))
+    blank = df.sparkSession.createDataFrame([("",)], "value string")
+    (blank if ids.isEmpty() else ids.orderBy("value")).write.mode("overwrite").text(path)
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, sep: str = ",", by: list[str] | None = None) -> None:
@@ -21,6 +23,7 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, sep: s
 
 def write_accepted(report: DataFrame, folder: str) -> None:
     """Accepted and rejected ids, and the report as TSV and CSV."""
+    report = report.orderBy("utt_id")
     write_ids(report.where(F.col("pass")), f"{folder}/accepted_utts.txt")
     write_ids(report.where(~F.col("pass")), f"{folder}/rejected_utts.txt")
     write_csv(report, f"{folder}/quality_report.tsv", sep="\t")
@@ -54,7 +57,7 @@ def write_summary(summary: DataFrame, path: str, decoder: str, language: str) ->
 
 
 def write_wavs(converted: DataFrame, out_column: str) -> DataFrame:
-    """Write each row's wav bytes to its own path; returns path and bytes written.
+    """Write each row's wav bytes to its own path; returns path, bytes written and status (converted, skipped or error; an error writes nothing).
 
     Paths must be on a store that all executors mount; a file appears whole or not at all, so a task can be run again.
     """
@@ -66,13 +69,16 @@ def write_wavs(converted: DataFrame, out_column: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for path, wav in zip(batch["out"], batch["wav"]):
+            for path, wav, status in zip(batch["out"], batch["wav"], batch["status"]):
+                if wav is None:
+                    rows.append((path, 0, "error"))
+                    continue
                 os.makedirs(os.path.dirname(path), exist_ok=True)
                 part = f"{path}.{os.getpid()}.part"
                 with open(part, "wb") as f:
                     f.write(wav)
                 os.replace(part, path)
-                rows.append((path, len(wav)))
-            yield pd.DataFrame(rows, columns=["path", "bytes"])
+                rows.append((path, len(wav), status))
+            yield pd.DataFrame(rows, columns=["path", "bytes", "status"])
 
-    return converted.where("wav is not null").select(F.col(out_column).alias("out"), "wav").mapInPandas(run, "path string, bytes long")
+    return converted.select(F.col(out_column).alias("out"), "wav", "status").mapInPandas(run, "path string, bytes long, status string")

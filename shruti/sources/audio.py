@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import recording, signal
@@ -71,11 +72,17 @@ def header(data: bytes) -> tuple:
         return None, None, None, None, str(e) or type(e).__name__
 
 
-def decode(data: bytes) -> tuple[np.ndarray, int]:
-    """Samples (frames, channels) between -1 and 1, and the rate, of a PCM WAV file."""
-    with wave.open(io.BytesIO(data)) as f:
-        width, channels, rate = f.getsampwidth(), f.getnchannels(), f.getframerate()
-        raw = f.readframes(f.getnframes())
+def decode(data, cut=None) -> tuple[np.ndarray, int]:
+    """Samples (frames, channels) between -1 and 1, and the rate, of a PCM WAV file, given as bytes or as an open file.
+
+    cut: first frame and number of frames for a rate; only these are read.
+    """
+    with wave.open(data if hasattr(data, "read") else io.BytesIO(data)) as f:
+        width, channels, rate, total = f.getsampwidth(), f.getnchannels(), f.getframerate(), f.getnframes()
+        first, n = (0, total) if cut is None else cut(rate)
+        first = min(max(first, 0), total)
+        f.setpos(first)
+        raw = f.readframes(min(max(n, 0), total - first))
     if width == 1:
         x = (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128
     elif width == 3:
@@ -155,8 +162,7 @@ def clips(utterances: DataFrame, contents: DataFrame, rounding: str = "offset_fi
                 try:
                     x, rate = decode(content)
                     if start == start and start is not None:
-                        off, until = int(start * rate), int(end * rate)
-                        n = max(until - off, 1) if rounding == "offset_first" else int(end * rate - off) if rounding == "joint" else until - off
+                        off, n = frames_of(start, end, rate, rounding)
                         x = x[off : off + max(n, 0)]
                     wav = signal.resample(x.mean(1) if len(x) else np.zeros(0), rate)
                     row = (utt, wav, len(wav) / signal.RATE, None)
@@ -168,6 +174,78 @@ def clips(utterances: DataFrame, contents: DataFrame, rounding: str = "offset_fi
     return joined.mapInPandas(run, "utt_id string, wav array<float>, seconds double, error string")
 
 
+def frames_of(start: float, end: float, rate: int, rounding: str) -> tuple[int, int]:
+    """First frame and number of frames of a time range; the roundings are those of ``signal.segment``."""
+    off, until = int(start * rate), int(end * rate)
+    return off, max(until - off, 1) if rounding == "offset_first" else int(end * rate - off) if rounding == "joint" else until - off
+
+
+def opened(path: str):
+    """A file of whatever store the path names, which executors can read."""
+    from pyarrow import fs
+
+    store, inside = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def cuts(utterances: DataFrame, rounding: str = "offset_first") -> DataFrame:
+    """``utterances`` (path, start, end, and any others) with wav, seconds and audio_error.
+
+    Each utterance's own frames are read from its file, so neither files nor
+    rows are shuffled and a recording is never read whole for a part of it.
+    """
+    has = utterances.schema
+    schema = T.StructType([*has.fields, *T._parse_datatype_string("wav array<float>, seconds double, audio_error string").fields])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.iloc[i : i + 1].copy()
+                path, start, end = (row[c].iloc[0] for c in ("path", "start", "end"))
+                try:
+                    if path is None or path.rstrip().endswith("|"):
+                        raise ValueError(f"no file: {path}")
+                    with opened(path.strip()) as f:
+                        x, rate = decode(f, None if pd.isna(start) else lambda r: frames_of(start, end, r, rounding))
+                    wav = signal.resample(x.mean(1) if len(x) else np.zeros(0), rate)
+                    found = (wav, len(wav) / signal.RATE, None)
+                except (wave.Error, EOFError, struct.error, KeyError, ValueError, TypeError, OSError) as e:
+                    found = (None, 0.0 if pd.isna(start) else float(end - start), str(e) or type(e).__name__)
+                row["wav"], row["seconds"], row["audio_error"] = [found[0]], [found[1]], [found[2]]
+                yield row
+
+    return utterances.mapInPandas(run, schema)
+
+
+def lengths(paths: DataFrame) -> DataFrame:
+    """path and seconds of each row of path, by the header alone; null where it can't be read."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            seconds = []
+            for path in batch["path"]:
+                try:
+                    with opened(path) as f, wave.open(f) as w:
+                        seconds.append(w.getnframes() / w.getframerate())
+                except (wave.Error, EOFError, struct.error, ValueError, TypeError, OSError, ZeroDivisionError):
+                    seconds.append(None)
+            yield pd.DataFrame({"path": batch["path"], "seconds": pd.Series(seconds, dtype="float64")})
+
+    return paths.select("path").mapInPandas(run, "path string, seconds double")
+
+
+def listed(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """path and length of a folder's files that end so, one level only. Empty files, which Spark's readers leave out, are among them."""
+    from pyarrow import fs
+
+    store, inside = fs.FileSystem.from_uri(folder)
+    found = [f for f in store.get_file_info(fs.FileSelector(inside)) if f.is_file and f.base_name.endswith(suffix) and not f.base_name.startswith((".", "_"))]
+    empty = spark.createDataFrame([(f"{folder}/{f.base_name}", 0) for f in found if not f.size], "path string, length long")
+    if not any(f.size for f in found):
+        return empty
+    return spark.read.format("binaryFile").load(f"{folder}/*{suffix}").select("path", "length").unionByName(empty)
+
+
 def first_files(listing: DataFrame, n: int = 10) -> DataFrame:
     """The first files by path; the sample that a dry run reports on."""
     return listing.orderBy("path").limit(n)
