@@ -28,7 +28,7 @@ def query(fn: Query) -> Query:
 
 @query
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = views.table(spark, sf_dir, "documents")
+    d = views.spread(views.table(spark, sf_dir, "documents"))
     return d.select("doc_id", textnorm.normalize(F.coalesce("text", F.lit(""))).alias("normalized"))
 
 

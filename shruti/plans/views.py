@@ -20,9 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table's scan over all cores, where it has fewer parts than there are cores; for costly work on small tables. Counting a scan's parts only plans it."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """utt_id, split, reference, hypothesis (without every seventh word; null, as if the audio had failed, for system turns), whisper (the next turn)."""
-    c = table(spark, sf_dir, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
+    c = spread(table(spark, sf_dir, "conversations")).withColumn("text", F.coalesce("text", F.lit("")))
     following = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("whisper"))
     kept = F.filter(F.split("text", " "), lambda w, i: i % 7 != 6)
     rows = c.join(following, ["conv_id", "turn"], "left")
