@@ -33,33 +33,37 @@ def load_encoder(path: str):
     """An encoder of batches of texts to id arrays, giving the ids of the tokenizers file at ``path``.
 
     The same vocabulary as ranks (``.tiktoken`` beside the ``.json``) encodes
-    four times as fast and to the same ids; the few texts that it refuses go
-    through tokenizers. Without a ranks file everything does.
+    four times as fast and to the same ids; the few texts that it refuses, and
+    those with the literal of an added token, which tokenizers gives that
+    token's id, go through tokenizers. Without a ranks file everything does.
     """
+    import json
     import os
 
     from tokenizers import Tokenizer
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
     ranks_path = path.removesuffix(".json") + ".tiktoken"
     if not os.path.exists(ranks_path):
         return lambda texts: [np.array(e.ids, "<u4") for e in slow.encode_batch(texts, add_special_tokens=False)]
     import public_tokenizers
     import tiktoken
 
+    with open(path, encoding="utf-8") as f:
+        added = [t["content"] for t in json.load(f).get("added_tokens") or ()]
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def one(text: str) -> np.ndarray:
-        try:
-            return np.array(quick.encode_ordinary(text), "<u4")
-        except BaseException as e:  # the Rust side panics on some extreme runs; its exception's class can't be imported
-            if type(e).__name__ != "PanicException":
-                raise
-            return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
+        if not any(t in text for t in added):
+            try:
+                return np.array(quick.encode_ordinary(text), "<u4")
+            except BaseException as e:  # the Rust side panics on some extreme runs; its exception's class can't be imported
+                if type(e).__name__ != "PanicException":
+                    raise
+        return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
 
     return lambda texts: [one(t) for t in texts]
 

@@ -52,14 +52,14 @@ def test_empty_table_and_ids(spark):
     assert zlib.crc32(row.ids) == row.ids_crc32 and row.length * 4 == len(row.ids)
 
 
-def test_special_strings_are_ordinary_text():
-    ids = packing.encoder(PATH)(["a<|endoftext|>b"])[0]
-    assert 50256 not in ids and len(ids) > 3
+def test_added_tokens_as_tokenizers_has_them(spark):
+    rows = list(enumerate(["a<|endoftext|>b", "<|endoftext|>", "a <|endoftext|> b " * 3000, "<|endoftext", "x" * 5000 + "<|endoftext|>"]))
+    assert list(packing.encoder(PATH)([rows[0][1]])[0]) == [64, 50256, 65]
+    check(rows, packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect(), 2048)
 
 
 def test_encoder_equals_tokenizers():
     slow = Tokenizer.from_file(PATH)
-    slow.encode_special_tokens = True
     r = random.Random(2)
     some = ["".join(chr(r.choice([r.randrange(32, 127), r.randrange(160, 1500), r.randrange(0x3000, 0xD000), 32, 10])) for _ in range(r.randrange(80))) for _ in range(500)]
     some += [" " * 70, "\n\n  x", "it's 12345 'S", "a" * 3000, "  x", "🙂🙂"]
