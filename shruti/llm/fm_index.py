@@ -66,3 +66,25 @@ class FMIndex:
         both = self.bwt.descend(np.concatenate([symbols, symbols]), np.concatenate([lo, hi]))
         shift = self.shift[symbols]
         return both[: len(symbols)] + shift, both[len(symbols) :] + shift
+
+    def statistics(self, text: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of a streamed text that is part of the indexed one.
+
+        Of each place in ``ends`` (exclusive): how many words before it, up to
+        ``limit``, are found in the index more than once, that is elsewhere too,
+        and the interval of the suffixes that begin with them. All places search
+        backward together; one ends where it is left alone or has ``limit`` words.
+        """
+        lengths = np.zeros(len(ends), np.int64)
+        low, high = np.zeros(len(ends), np.int64), np.full(len(ends), len(self.order), np.int64)
+        alive, lo, hi = np.arange(len(ends)), low, high
+        for step in range(1, limit + 1):
+            symbols = text[ends[alive] - step]
+            # the interval of one symbol is known without the wavelet matrix
+            lo, hi = self.extend(symbols, lo, hi) if step > 1 else (self.first[symbols], self.first[symbols + 1])
+            more = hi - lo > 1
+            alive, lo, hi = alive[more], lo[more], hi[more]
+            if not len(alive):
+                break
+            lengths[alive], low[alive], high[alive] = step, lo, hi
+        return lengths, low, high

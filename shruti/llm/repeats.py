@@ -10,8 +10,9 @@ snippets are collapsed, and groups of snippets form shards of bounded size.
 ``sparse_suffixes`` keeps one suffix per snippet, at its anchor: they are sorted,
 neighbours compared for their common length, and matches extended to the left.
 ``fm_index`` indexes each shard's snippets and streams them through it: backward
-search over a wavelet matrix gives how far each window's words match elsewhere,
-and the least document of those that match in full. Both give, for each window
+search over a wavelet matrix gives the matching statistics of the places where
+windows end (how many words before match elsewhere, up to a window's), and those
+that reach the threshold report the least document of their interval. Both give, for each window
 of a snippet, the smallest document that has it.
 
 An anchor with very many different snippets (a passage in very many places) is
@@ -199,7 +200,7 @@ def _verdict(table: pa.Table, owner: np.ndarray, place: np.ndarray, least: np.nd
 
 
 def fm_index(size: int) -> Callable[[pa.Table], pa.Table]:
-    """Verdicts of one shard by backward search in its FM-index."""
+    """Verdicts of one shard: snippets stream through its FM-index, and where the matching statistics reach ``size`` words the interval's least document is reported."""
 
     def run(table: pa.Table) -> pa.Table:
         table, text, starts = _unpacked(table)
@@ -213,21 +214,14 @@ def fm_index(size: int) -> Callable[[pa.Table], pa.Table]:
         docs = np.append(first[holder], np.iinfo(np.int64).max)
         ends = starts[owner] + place + size
         for a in range(0, len(owner), 1 << 17):
-            alive = np.arange(a, min(len(owner), a + (1 << 17)))
-            last = text[ends[alive] - 1]
-            lo, hi = index.first[last], index.first[last + 1]
-            for step in range(2, size + 1):
-                more = hi - lo > 1  # where the window alone is left, nothing else matches
-                alive, lo, hi = alive[more], lo[more], hi[more]
-                if not len(alive):
-                    break
-                lo, hi = index.extend(text[ends[alive] - step], lo, hi)
-            if len(alive):
-                cuts, back = np.unique(lo, return_inverse=True)
+            length, lo, hi = index.statistics(text, ends[a : a + (1 << 17)], size)
+            whole = np.flatnonzero(length >= size)
+            if len(whole):
+                cuts, back = np.unique(lo[whole], return_inverse=True)
                 tops = np.zeros(len(cuts), np.int64)
-                tops[back] = hi
+                tops[back] = hi[whole]
                 found = np.minimum.reduceat(docs, np.stack([cuts, tops], 1).ravel())[::2]
-                least[alive] = found[back]
+                least[a + whole] = found[back]
         return _verdict(table, owner, place, least)
 
     return run

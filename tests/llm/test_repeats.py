@@ -131,6 +131,21 @@ def test_fm_index_counts_patterns():
             assert sorted(index.order[lo[0] : hi[0]].tolist()) == [i for i in range(len(text)) if text[i : i + len(p)] == p]
 
 
+@pytest.mark.parametrize("n_symbols,limit", [(2, 7), (4, 3), (30, 50)])
+def test_matching_statistics(n_symbols, limit):
+    r = random.Random(limit)
+    part = [r.randrange(1, n_symbols) for _ in range(60)]
+    text = [r.randrange(1, n_symbols) for _ in range(120)] + part + [r.randrange(1, n_symbols) for _ in range(70)] + part + [0]
+    index = FMIndex(np.array(text, np.int64), n_symbols)
+    ends = np.arange(limit, len(text))
+    length, lo, hi = index.statistics(np.array(text, np.int64), ends, limit)
+    for e, n, a, b in zip(ends.tolist(), length.tolist(), lo.tolist(), hi.tolist()):
+        where = lambda k: [i for i in range(len(text) - k + 1) if text[i : i + k] == text[e - k : e]]
+        assert n == max([0, *(k for k in range(1, limit + 1) if len(where(k)) > 1)])
+        assert not n or sorted(index.order[a:b].tolist()) == where(n)
+    assert limit < 50 or max(length) == 50
+
+
 def test_wavelet_matrix_ranks():
     r = np.random.default_rng(4)
     values = r.integers(0, 13, 1000)
