@@ -3,7 +3,8 @@
 ``encode`` adds a binary column with one lossless file per row; ``tensors``
 decodes any progressive JPEG column: scans accumulate into coefficient arrays,
 numpy makes the inverse transform, chroma is upsampled, and rows get height,
-width and the RGB bytes. ``digest`` reads the stored bytes back and checks them.
+width and the RGB bytes. ``digest`` checks files and their payload, and
+``stored_media`` writes the files to the shared folder and reads them back first.
 One pass over the rows each, no shuffle; memory is one batch of at most a few MB
 of text, and one image's tensor at a time.
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, per_batch, utf8
+from .common import column, per_batch, stored, utf8
 from .jpeg import Decoder, encode_payload, payload_of
 
 UNIT = 576
@@ -79,21 +80,37 @@ def feature(image: np.ndarray) -> str:
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+TENSOR = ", height int, width int, rgb binary"
+#: Bytes of tensors that are handed on together, at most, but for one that is larger.
+HANDED = 8 << 20
 
 
-def digest(media: DataFrame) -> DataFrame:
-    """What the stored files hold: the payload as read back, the file itself, and features of its RGB tensor."""
+def digest(media: DataFrame, with_tensor: bool = False) -> DataFrame:
+    """What the stored files hold: the payload as read back, the file itself, features of its RGB tensor, and, if asked for, the tensor."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary())[: 11 if with_tensor else 8]
+    names = [f.split()[0] for f in (DIGEST + TENSOR).split(", ")][: len(kinds)]
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows: list[list] = [[] for _ in range(6)]
-        for data in column(batch, "media").to_pylist():
+    def run(batch: pa.RecordBatch):
+        rows: list[tuple] = []
+        held = 0
+        for doc, n_bytes, data in zip(*(column(batch, c) for c in ("doc_id", "n_bytes", "media"))):
+            data = data.as_py()
             image = Decoder(data)
-            payload = payload_of(image)
-            values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature(image.rgb()))
-            for c, v in zip(rows, values):
-                c.append(v)
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        names = [f.split()[0] for f in DIGEST.split(", ")]
-        return pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "n_bytes"), *(pa.array(c, k) for c, k in zip(rows, kinds))], names=names)
-
-    return media.mapInArrow(per_batch(run), DIGEST)
+            payload, rgb = payload_of(image), image.rgb()
+            row = (doc.as_py(), n_bytes.as_py(), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature(rgb))
+            if with_tensor:
+                row += (rgb.shape[0], rgb.shape[1], rgb.tobytes())
+                if rows and held + rgb.size > HANDED:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    rows, held = [], 0
+                held += rgb.size
+            rows.append(row)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return media.mapInArrow(per_batch(run), DIGEST + (TENSOR if with_tensor else ""))
+
+
+def stored_media(docs: DataFrame) -> DataFrame:
+    """The rows of ``digest`` with tensors, of files that are written to the shared folder and read back."""
+    return digest(stored(encode(docs), "media", keep=True), with_tensor=True)

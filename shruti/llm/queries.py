@@ -17,7 +17,7 @@ def pii_key(spark: SparkSession) -> bytes:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.digest(media.encode(table(spark, sf_dir, "documents")))
+    return media.stored_media(table(spark, sf_dir, "documents"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

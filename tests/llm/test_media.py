@@ -140,6 +140,27 @@ def test_digest(spark):
     assert len(set(by_text.values())) > 0.9 * len(by_text)
 
 
+def test_stored_media_keeps_files_and_tensors(spark, monkeypatch):
+    monkeypatch.setattr(media, "HANDED", 5000)
+    df, rows = documents(spark)
+    made = {r.doc_id: r for r in media.encode(df).collect() if r.doc_id is not None}
+    digests = {r.doc_id: r.asDict() for r in media.digest(media.encode(df)).collect() if r.doc_id is not None}
+    out = media.stored_media(clashing(df))
+    got = [r.asDict() for r in out.collect()]
+    assert out.inputFiles() and all("llm-media-" in f for f in out.inputFiles())
+    assert len(got) == len(rows)
+    for r in got:
+        rgb = np.frombuffer(r.pop("rgb"), np.uint8).reshape(r.pop("height"), r.pop("width"), 3)
+        if r["doc_id"] is not None:
+            assert r == digests[r["doc_id"]] and (rgb == media.Decoder(made[r["doc_id"]].media).rgb()).all()
+        parts = r["feature"].split(",")
+        assert parts[0] == f"{rgb.shape[1]}x{rgb.shape[0]}"
+        for plane, values in zip(np.moveaxis(rgb.astype(float), 2, 0), parts[1:]):
+            want = (plane.mean(), plane.std(), np.abs(plane[:, 1:] - plane[:, :-1]).sum() / plane.size)
+            assert np.allclose([float(v) for v in values.split("/")], want, atol=1e-3)
+    assert media.stored_media(df.limit(0)).count() == 0
+
+
 def test_many_random_sizes():
     r = random.Random(5)
     for _ in range(50):
