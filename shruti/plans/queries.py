@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ctc, editdist, recording, signal, textnorm
+from ..functions.binding import let
 from ..operators import audit, corpus_eval, crosscheck, joins, qc
 from ..sinks import files
 from ..sources import audio, kaldi
@@ -253,10 +254,12 @@ def segment_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unit_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = views.waveforms(spark, sf_dir).withColumn("loud", F.transform("wav", lambda x: x * 30000))
+    """Loud samples are 32-bit floats, as the quiet ones are. As in SQL, a sum leaves nulls out, is null without samples, and -0.0 where a negative one rounds to zero."""
+    w = views.waveforms(spark, sf_dir).withColumn("loud", F.transform("wav", lambda x: x * F.lit(30000).cast("float")))
     peak = lambda c: F.round(F.array_max(F.transform(signal.unit_scaled(c), F.abs)), 4)
-    both = F.aggregate(signal.mono(F.array("wav", "loud")), F.lit(0.0), lambda s, x: s + x)
-    return w.select("vec_id", peak(F.col("wav")).alias("quiet_peak"), peak(F.col("loud")).alias("loud_peak"), F.round(both, 0).alias("mono_sum"))
+    both = F.aggregate(signal.mono(F.array("wav", "loud")), F.lit(None).cast("double"), lambda s, x: F.coalesce(F.coalesce(s, F.lit(0.0)) + x, s))
+    mono_sum = let(both, lambda s: F.signum(s) * F.round(F.abs(s), 0))
+    return w.select("vec_id", peak(F.col("wav")).alias("quiet_peak"), peak(F.col("loud")).alias("loud_peak"), mono_sum.alias("mono_sum"))
 
 
 @query

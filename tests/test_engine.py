@@ -1,6 +1,7 @@
 import csv
 import io
 import json
+import math
 import os
 import wave
 
@@ -47,6 +48,24 @@ def test_queries_match_their_sql(spark, duck, name):
     assert sorted(got.columns) == sorted(want.columns) and rows_of(got) == rows_of(want)
 
 
+@pytest.mark.parametrize(
+    "waves",
+    [
+        [[0.272029], [0.438272], [0.389687], [0.460418], [0.410153]],  # products of 64 bits lie on the other side of a half
+        [[-1e-6], [-1e-5, 1e-6], [1e-6], [0.0], [-0.0], [0.5, -0.5]],  # sums that round to zero, from either side
+        [None, [], [None], [0.25, None, -0.75], [0.1, math.nan], [math.inf], [-math.inf, 2.0]],
+    ],
+)
+def test_unit_scale_gives_the_rows_of_its_sql(spark, tmp_path, waves):
+    e = spark.createDataFrame(list(enumerate(waves)), "vec_id long, embedding array<float>")
+    e.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = queries.QUERIES["unit_scale"](spark, str(tmp_path)).orderBy("vec_id").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = con.execute(oracles.oracle_sql()["unit_scale"] + " ORDER BY vec_id").fetchall()
+    assert list(map(repr, map(tuple, got))) == list(map(repr, want))  # 0.0 and -0.0 differ
+
+
 def test_entry_and_registry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(oracles.oracle_sql()) <= set(queries.QUERIES) <= set(__spark_entry__.queries())
